@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qanat.llm.lookalikes import consistent_texts, lookalike_pairs
+from qanat.llm.languages import language_segments, record_languages
 from qanat.llm.leakage import leaks, literal_leaks
+from qanat.llm.lookalikes import consistent_texts, lookalike_pairs
 from qanat.llm.neighbours import measured_recall, nearest
 from qanat.llm.packing import pack
+from qanat.llm.scans import repaired, scan_noise
+from qanat.llm.sentences import sentence_units
 from qanat.llm.splitting import corpus_records, oversized_pieces
 from qanat.sources.tables import table
 
@@ -68,7 +71,39 @@ def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(*_bench(spark, sf_dir))
 
 
-QUERIES = {"p2_found": p2_found, "p2_recall": p2_recall, "p9_found": p9_found, "p9_report": p9_report, "p3_found": p3_found, "p3_pieces": p3_pieces, "p7_found": p7_found, "p7_forms": p7_forms, "p8_packing": p8_packing}
+def _scanned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    return tuple(table(spark, sf_dir, t) for t in ("misa", "articles", "law_documents"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_noise(*_scanned(spark, sf_dir))
+
+
+def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(*_scanned(spark, sf_dir))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return record_languages(table(spark, sf_dir, "misa"), table(spark, sf_dir, "documents")).where("NOT labelled").select("rec_id", "true_language")
+
+
+def p5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_segments(table(spark, sf_dir, "misa"), table(spark, sf_dir, "documents"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_units(_documents(spark, sf_dir), with_text=False).select("doc_id", "sentence_end")
+
+
+def p10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_units(_documents(spark, sf_dir))
+
+
+QUERIES = {"p5_found": p5_found, "p5_segments": p5_segments, "p4_found": p4_found, "p4_repaired": p4_repaired, "p10_found": p10_found, "p10_sentences": p10_sentences, "p2_found": p2_found, "p2_recall": p2_recall, "p9_found": p9_found, "p9_report": p9_report, "p3_found": p3_found, "p3_pieces": p3_pieces, "p7_found": p7_found, "p7_forms": p7_forms, "p8_packing": p8_packing}
 
 # The characters with the property White_Space, as a class for DuckDB's expressions.
 _BLANK = "\\x{9}-\\x{D}\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
