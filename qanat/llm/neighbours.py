@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from qanat.session import cut_lineage, partitions
 
 SAMPLE, CALIBRATION, TARGET = 16_384, 256, 0.985
-BRANCHES, LEAF_ROWS, LEAF_SAMPLE, CELL_ROWS, SLICE_QUERIES = 8, 256, 12, 8_192, 16_384
-DECIMALS, SHORTLIST = 9, 12
+BRANCHES, LEAF_ROWS, LEAF_SAMPLE, CELL_ROWS, SLICE_QUERIES = 8, 1_024, 12, 16_384, 65_536
+DECIMALS, SHORTLIST = 9, 8
 
 
 @dataclass
@@ -144,64 +144,59 @@ def _best(queries: np.ndarray, plan: list[tuple[np.ndarray, np.ndarray]], member
     plan: (queries, members) of each visited leaf.
     """
     q_unit, m_unit = unit(queries), unit(members)
-
-    def scan(only: np.ndarray | None, keep: int) -> tuple[np.ndarray, ...]:
-        found = []
-        for asked, own in plan:
-            asked = asked if only is None else asked[only[asked]]
-            for start in range(0, len(asked), 2048):
-                part = asked[start : start + 2048]
-                near = q_unit[part] @ m_unit[own].T
-                if near.shape[1] > keep:
-                    top = np.argpartition(-near, keep - 1, axis=1)[:, :keep]
-                    near, at = np.take_along_axis(near, top, 1), own[top]
-                else:
-                    at = np.broadcast_to(own, near.shape)
-                found.append((np.repeat(part, near.shape[1]), at.ravel(), near.ravel(), np.repeat(near.min(1) if near.shape[1] == keep else np.full(len(part), -np.inf), near.shape[1])))
-        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.float32))
-
-    who, what, near, floor = scan(None, max(SHORTLIST, wanted))
-    order = np.lexsort((-near, who))
-    who, what, near, floor = who[order], what[order], near[order], floor[order]
-    rank = np.arange(len(who)) - np.searchsorted(who, who)
-    last = np.full(len(queries), -np.inf, np.float32)
-    last[who[rank == wanted - 1]] = near[rank == wanted - 1]
-    close = near >= last[who] - 2e-6
-    torn = np.zeros(len(queries), bool)  # ties may go on beyond what a leaf gave
-    torn[who[close & (floor >= last[who] - 2e-6)]] = True
-    who, what = who[close], what[close]
+    keep = max(SHORTLIST, wanted + 1)
+    best, which = np.full((len(queries), keep), -np.inf, np.float32), np.full((len(queries), keep), -1, np.int32)
+    for asked, own in plan:
+        for start in range(0, len(asked), 1024):
+            part = asked[start : start + 1024]
+            near = np.concatenate([q_unit[part] @ m_unit[own].T, best[part]], axis=1)
+            top = np.argpartition(near, near.shape[1] - keep, axis=1)[:, near.shape[1] - keep :]
+            best[part] = np.take_along_axis(near, top, 1)
+            which[part] = np.where(top < len(own), own[np.minimum(top, len(own) - 1)], np.take_along_axis(which[part], np.maximum(top - len(own), 0), 1))
+    last = np.partition(best, keep - wanted, axis=1)[:, keep - wanted] - np.float32(2e-6)
+    who, at = np.nonzero((best >= last[:, None]) & (which >= 0))
+    what = which[who, at]
+    torn = np.isfinite(last) & (best.min(1) >= last)  # more may tie than were kept
     if torn.any():
-        w2, m2, n2, _ = scan(torn, 1 << 30)
-        tied = n2 >= last[w2] - 2e-6
-        who, what = np.concatenate([who[~torn[who]], w2[tied]]), np.concatenate([what[~torn[who]], m2[tied]])
+        more = [(part, own) for asked, own in plan for part in [asked[torn[asked]]] if len(part)]
+        tied = [(part[q], own[m]) for part, own in more for q, m in [np.nonzero(q_unit[part] @ m_unit[own].T >= last[part][:, None])]]
+        who, what = np.concatenate([who[~torn[who]], *(q for q, _ in tied)]), np.concatenate([what[~torn[who]], *(m for _, m in tied)])
     return who, what
 
 
 _RESULT = "k1 long, k2 long, near array<struct<negative: double, id: string>>"
+_NEAR = pa.list_(pa.struct([("negative", pa.float64()), ("id", pa.string())]))
 
 
-def _search_cell(wanted: int, members: pa.Table, visitors: pa.Table) -> pa.Table:
-    """The best of one cell for its own members and for visiting queries."""
-    empty = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("near", pa.list_(pa.struct([("negative", pa.float64()), ("id", pa.string())])))]).empty_table()
-    if not len(members):
-        return empty
-    own, leaf, ids = _matrix(members["vector"].combine_chunks()), members["leaf"].to_numpy(), members["ids"].to_pylist()
-    asking = pa.concat_tables([visitors.select(["k1", "k2", "vector", "leaves"]), members.filter(members["asks"]).select(["k1", "k2", "vector", "leaves"])])
-    if not len(asking):
+def _search_cell(wanted: int, rows: pa.Table) -> pa.Table:
+    """The best of one cell (members have a leaf) for those of its members that ask and for visiting queries."""
+    leaf = rows["leaf"].to_numpy()
+    inside, asks = np.flatnonzero(leaf >= 0), np.flatnonzero(rows["asks"].to_numpy(zero_copy_only=False))
+    empty = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("near", _NEAR)]).empty_table()
+    if not len(inside) or not len(asks):
         return empty
-    queries, leaves = _matrix(asking["vector"].combine_chunks()), asking["leaves"].to_pylist()
-    asked: dict[int, list[int]] = {}
-    for i, own_leaves in enumerate(leaves):
-        for x in own_leaves:
-            asked.setdefault(x, []).append(i)
-    plan = [(np.array(asked[x]), at) for x in np.unique(leaf) if x in asked for at in [np.flatnonzero(leaf == x)]]
-    who, what = _best(queries, plan, own, wanted)
-    similar = exact_similarity(queries[who], own[what]) if len(who) else np.zeros(0)
-    near: list[list] = [[] for _ in range(len(queries))]
-    for w, m, s in zip(who.tolist(), what.tolist(), similar.tolist()):
-        near[w] += [(-s, i) for i in ids[m]]
-    near = [[{"negative": s, "id": i} for s, i in sorted(x)[:wanted]] for x in near]
-    return pa.table([asking["k1"], asking["k2"], pa.array(near, empty.schema.field("near").type)], schema=empty.schema)
+    vectors, ids = _matrix(rows["vector"].combine_chunks()), rows["ids"].to_pylist()
+    asking = rows.take(pa.array(asks))
+    visits = asking["leaves"].combine_chunks()
+    visit_leaf, visitor = visits.flatten().to_numpy(), np.repeat(np.arange(len(asks)), visits.value_lengths().to_numpy(zero_copy_only=False))
+    order, own_leaf = np.argsort(visit_leaf, kind="stable"), leaf[inside]
+    visit_leaf, visitor = visit_leaf[order], visitor[order]
+    plan = [(visitor[a:b], np.flatnonzero(own_leaf == x)) for x in np.unique(own_leaf) for a, b in [np.searchsorted(visit_leaf, [x, x + 1])] if b > a]
+    members = vectors[inside]
+    who, what = _best(vectors[asks], plan, members, wanted)
+    similar = np.concatenate([exact_similarity(vectors[asks][who[i : i + 50_000]], members[what[i : i + 50_000]]) for i in range(0, len(who), 50_000)] or [np.zeros(0)])
+    order = np.lexsort((-similar, who))
+    who, what, similar = who[order], what[order], similar[order]
+    edges = np.searchsorted(who, np.arange(len(asks) + 1)).tolist()
+    place, negative = [ids[i] for i in inside[what]], (-similar).tolist()
+    counts, values, names = [0], [], []
+    for a, b in zip(edges, edges[1:]):
+        near = sorted((n, i) for n, many in zip(negative[a:b], place[a:b]) for i in many)[:wanted]
+        values += [n for n, _ in near]
+        names += [i for _, i in near]
+        counts.append(len(values))
+    flat = pa.StructArray.from_arrays([pa.array(values, pa.float64()), pa.array(names, pa.string())], fields=list(_NEAR.value_type))
+    return pa.table([asking["k1"], asking["k2"], pa.ListArray.from_arrays(pa.array(counts, pa.int32()), flat).cast(_NEAR)], schema=empty.schema)
 
 
 def distinct_vectors(rows: DataFrame, wanted: int) -> DataFrame:
@@ -271,44 +266,41 @@ def nearest(rows: DataFrame, k: int = 5, target: float = TARGET) -> DataFrame:
     shared = spark.sparkContext.broadcast(tree)  # bounded by SAMPLE
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A member row in the home cell of each vector, and a visitor row in each other cell that it visits."""
+        """A row in each cell that a vector visits; in its home cell it is a member (leaf >= 0) too."""
         tree = shared.value
+        cells = int(tree.cell_of_leaf.max()) + 1
         for batch in batches:
             if not len(batch):
                 continue
             vectors = _vectors(batch["vector"])
             own = unit(vectors)
             home, seen = home_leaf(tree, own), visited_leaves(tree, own, visits)
-            cells = np.where(seen >= 0, tree.cell_of_leaf[seen], -1)
-            home_cell = tree.cell_of_leaf[home]
-            rows, cell, leaf, leaves = [], [], [], []
-            for i in range(len(own)):
-                met: dict[int, list[int]] = {int(home_cell[i]): []}
-                for c, x in zip(cells[i].tolist(), seen[i].tolist()):
-                    if c >= 0:
-                        met.setdefault(c, []).append(x)
-                for c, xs in met.items():
-                    rows.append(i)
-                    cell.append(c)
-                    leaf.append(int(home[i]) if c == home_cell[i] else -1)
-                    leaves.append(xs)
-            taken = np.array(rows)
-            data = [v.tobytes() for v in vectors]
-            ids = batch["ids"].to_pylist()
-            arrays = [pa.array(cell, pa.int32()), batch["k1"].take(pa.array(taken)), batch["k2"].take(pa.array(taken)), pa.array(leaf, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), pa.array([data[i] for i in rows], pa.binary()), pa.array([ids[i] if x >= 0 else None for i, x in zip(rows, leaf)], pa.list_(pa.string()))]
+            row = np.repeat(np.arange(len(own)), seen.shape[1])[seen.ravel() >= 0]
+            seen = seen.ravel()[seen.ravel() >= 0]
+            at_home = tree.cell_of_leaf[home]
+            key = row * cells + tree.cell_of_leaf[seen]
+            order = np.argsort(key, kind="stable")
+            places = np.union1d(key, np.arange(len(own)) * cells + at_home)  # one row out for each vector and cell
+            edges = np.searchsorted(key[order], np.append(places, len(own) * cells))
+            row, cell = places // cells, places % cells
+            inside = at_home[row] == cell
+            leaves = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(seen[order], pa.int32()))
+            take = pa.array(row)
+            raw = pa.array([v.tobytes() for v in vectors], pa.binary())
+            ids = batch["ids"].take(pa.array(np.where(inside, row, 0), mask=~inside))
+            arrays = [pa.array(cell, pa.int32()), batch["k1"].take(take), batch["k2"].take(take), pa.array(np.where(inside, home[row], -1), pa.int32()), leaves, raw.take(take), ids]
             yield pa.RecordBatch.from_arrays(arrays, ["cell", "k1", "k2", "leaf", "leaves", "vector", "ids"])
 
     routed = distinct.mapInArrow(route, "cell int, k1 long, k2 long, leaf int, leaves array<int>, vector binary, ids array<string>")
-    # A cell is searched by as many tasks as its queries ask for; each has all members of the cell, and one slice of the queries.
-    load = {r["cell"]: -(-r["count"] // SLICE_QUERIES) for r in routed.groupBy("cell").count().collect()} if n > SLICE_QUERIES else {}
-    busy = {c: s for c, s in load.items() if s > 1}
-    slices = F.coalesce(F.create_map(*(F.lit(x) for pair in busy.items() for x in pair))[F.col("cell")], F.lit(1)) if busy else F.lit(1)
-    mine = F.pmod("k2", slices).cast("int")
-    members = routed.where("leaf >= 0").withColumn("mine", mine).withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-    members = members.select("cell", "slice", "k1", "k2", "leaf", "leaves", "vector", "ids", (F.col("slice") == F.col("mine")).alias("asks"))
-    visitors = routed.where("leaf < 0").select("cell", mine.alias("slice"), "k1", "k2", "leaves", "vector")
-    pairs_of = members.groupBy("cell", "slice").cogroup(visitors.groupBy("cell", "slice"))
-    found = pairs_of.applyInArrow(lambda m, v: _search_cell(wanted, m, v), _RESULT)
+    if n <= SLICE_QUERIES * 4:
+        placed = routed.withColumn("slice", F.lit(0)).withColumn("asks", F.lit(True))
+    else:  # a cell is searched by as many tasks as its queries ask for; each has all members of the cell and one slice of the queries
+        load = {r["cell"]: -(-r["count"] // SLICE_QUERIES) for r in routed.groupBy("cell").count().collect()}
+        slices = F.coalesce(F.create_map(*(F.lit(x) for pair in load.items() for x in pair))[F.col("cell")], F.lit(1))
+        mine = F.pmod("k2", slices).cast("int")
+        everywhere = F.when(F.col("leaf") >= 0, F.sequence(F.lit(0), slices - 1)).otherwise(F.array(mine))
+        placed = routed.withColumn("slice", F.explode(everywhere)).withColumn("asks", F.col("slice") == mine)
+    found = placed.groupBy("cell", "slice").applyInArrow(lambda rows: _search_cell(wanted, rows), _RESULT)
     best = found.groupBy("k1", "k2").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, wanted).alias("near"))
     asked = distinct.select("k1", "k2", "ids", "more").join(best, ["k1", "k2"])
     listed = asked.select(F.explode("ids").alias("id"), "near")
