@@ -10,8 +10,8 @@ import re
 import unicodedata
 
 # Characters with the property White_Space, and those of them that end a line.
-BLANKS = "\t\n\x0b\x0c\r \x85\xa0                　"
-LINE_ENDS = "\n\x0b\x0c\r\x85  "
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+LINE_ENDS = "\n\x0b\x0c\r\x85\u2028\u2029"
 # Letters that look like the Latin letter in the same position of the second string.
 GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳονιρυκ", "ABEZHIKMNOPTYXCjovipuk")
 CYRILLIC = ("АВЕЅІЈКМНОРСТУХԌԚԜаеѕіјорсухһԁԛԝѵ", "ABESIJKMHOPCTYXGQWaesijopcyxhdqwv")
@@ -20,11 +20,11 @@ CYRILLIC = ("АВЕЅІЈКМНОРСТУХԌԚԜаеѕіјорсухһԁԛԝѵ"
 JOINED = ("یکہھ", "يكهه")
 UNJOINED = ("یہە", "ىهه")
 
-ZWNJ, SOFT_HYPHEN = "‌", "­"
+ZWNJ, SOFT_HYPHEN = "\u200c", "\u00ad"
 _ARABIC = "ؠ-يٮٯٱ-ۓۺ-ۿ"
 _MARKS = "ؐ-ًؚ-ٰٟۖ-ۜ۟-۪ۤۧۨ-ۭ"
 _JOINING = "ئبت-خس-ؿـ-هىيٹ-ڇښ-ڿہۂیێ"
-_KEPT = ""  # stands for a non-joiner that shows
+_KEPT = "\uf8f0"  # stands for a non-joiner that shows
 
 
 def invisible_characters() -> str:

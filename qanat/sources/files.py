@@ -14,6 +14,22 @@ ARTICLE = "array<struct<article_number: string, article_type: string, language:
 MANIFEST = "struct<generated_at: string, sources: array<struct<name: string, status: string, article_count: int, language: string, source_url: string, fetched_at: string>>>"
 
 
+# Known sources as slug: (code, type, issuer).
+REGISTRY = {
+    "zatca_einvoicing_regulation": ("ZATCA_EINVOICING_REGULATION", "regulation", "Zakat, Tax and Customs Authority (ZATCA)"),
+    "zatca_implementation_resolution": ("ZATCA_IMPLEMENTATION_RESOLUTION", "regulation", "Zakat, Tax and Customs Authority (ZATCA)"),
+    "zatca_guidelines": ("ZATCA_GUIDELINES", "guidance", "Zakat, Tax and Customs Authority (ZATCA)"),
+    "zatca_vat_agreement": ("ZATCA_VAT_AGREEMENT", "regulation", "Zakat, Tax and Customs Authority (ZATCA)"),
+    "labor": ("LABOR_LAW", "statute", "Ministry of Human Resources and Social Development (HRSD)"),
+    "companies": ("COMPANIES_LAW", "statute", "Ministry of Commerce"),
+    "pdpl": ("PDPL", "statute", "Saudi Data & AI Authority (SDAIA)"),
+    "sama": ("SAMA_CIRCULAR", "regulation", "Saudi Central Bank (SAMA)"),
+    "cma": ("CMA_LAW", "statute", "Capital Market Authority (CMA)"),
+    "nca": ("NCA_ECC", "regulation", "National Cybersecurity Authority (NCA)"),
+    "misa": ("MISA_INVESTMENT_LAW", "statute", "Ministry of Investment (MISA)"),
+}
+
+
 def read_manifest(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
     """The sources of a manifest, all or the one of that name whatever its case; an unknown name gives none."""
     rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", MANIFEST)["sources"]).alias("s")).select("s.*")
@@ -62,9 +78,10 @@ def page_lines(items: DataFrame) -> DataFrame:
     return items.groupBy("page").applyInPandas(lines, "page int, line int, text string")
 
 
-def source_code(name: Column, registry: dict[str, str]) -> Column:
-    """The code of a known source, or its name in capitals."""
-    known = F.lit(None).cast("string")
-    for slug, code in registry.items():
-        known = F.when(name == slug, code).otherwise(known)
-    return F.coalesce(known, F.upper(name))
+def source_metadata(name: Column) -> Column:
+    """struct<slug, code, type, issuer> of a source: as registered, or its own name in capitals, a regulation of an unknown issuer."""
+    unknown = F.struct(name.alias("slug"), F.upper(name).alias("code"), F.lit("regulation").alias("type"), F.lit("Unknown").alias("issuer"))
+    out = unknown
+    for slug, values in REGISTRY.items():
+        out = F.when(name == slug, F.struct(name.alias("slug"), *(F.lit(v).alias(k) for k, v in zip(("code", "type", "issuer"), values)))).otherwise(out)
+    return out

@@ -120,3 +120,8 @@ def test_stream_equals_batch(spark, tmp_path):
     stream_notices(spark, str(tmp_path / "in"), docs, interests, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [("d1", "s1", "t1"), ("d1", "s1", "t2"), ("d2", "s2", None)]))
+
+
+def test_source_metadata(spark):
+    rows = spark.createDataFrame([("labor",), ("new_one",)], "n string").select(files.source_metadata(F.col("n")).alias("m")).select("m.*").collect()
+    assert [tuple(r)[:3] for r in rows] == [("labor", "LABOR_LAW", "statute"), ("new_one", "NEW_ONE", "regulation")]

@@ -36,7 +36,7 @@ def test_chunks(spark, n, sizes):
 
 
 def test_words_split_at_no_break_space(spark):
-    assert one(spark, "a b", T.words) == ["a", "b"]
+    assert one(spark, "a\u00a0b", T.words) == ["a", "b"]
 
 
 @pytest.mark.parametrize(
