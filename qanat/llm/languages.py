@@ -22,7 +22,7 @@ from qanat.functions.visual import visual_key
 from qanat.llm.scans import furniture, join_words
 
 LANGUAGES = ("ar", "en", "fr", "ur", "fa")
-SAMPLE_TEXTS, LONGEST_GRAM, BACKOFF, CHANGE, SENTENCE_WORDS = 1500, 4, 1.5, 7.0, 4
+SAMPLE_TEXTS, LONGEST_GRAM, BACKOFF, CHANGE, SENTENCE_WORDS, BORROWED = 1500, 4, 1.5, 7.0, 4, 50
 
 # Names and codes of languages as labels write them.
 NAMES = {
@@ -37,7 +37,7 @@ NO_LANGUAGE = ("", "unknown", "und", "mul", "zxx", "none", "null", "n/a", "na",
 
 _CODES = {name: code for code, names in NAMES.items() for name in names}
 _SEPARATOR = re.compile(r"[\s,;/|+&،؛]+")
-_TOKEN = re.compile(r"[^\W\d_]+(?:[’'‌][^\W\d_]+)*[ً-ْ]*")
+_TOKEN = re.compile(r"[^\W\d_]+(?:[’'\u200c][^\W\d_]+)*[ً-ْ]*")
 _END = re.compile("[.!?؟۔।。…][\"'»”“’)\\]]*$")
 _PLACED_WORD = re.compile(r"\S+")
 _MARKS = re.compile("[ً-ْٰـ]")
@@ -77,7 +77,7 @@ class LanguageModel:
         return known
 
     def _backed_off(self, word: str) -> np.ndarray:
-        padded = f"^{word[:40]}$"
+        padded = f"^{word}$"
         for n in range(min(LONGEST_GRAM, len(padded)), 0, -1):
             found = [g for i in range(len(padded) - n + 1) if (g := self.grams[n].get(padded[i : i + n])) is not None]
             if 2 * len(found) >= len(padded) - n + 1:
@@ -98,12 +98,13 @@ def _log_frequencies(counts: list[Counter], smoothing: float) -> tuple[dict[str,
 
 
 def fit(texts: dict[str, list[str]]) -> LanguageModel:
-    """The model of labelled texts. A text's words count for its label; words that another label has ten times as often were borrowed and do not."""
+    """The model of labelled texts. A text's words count for its label; words that another label has BORROWED times as often do not."""
     counts = [Counter(w for t in texts.get(language, ()) for w in plain_words(t)) for language in LANGUAGES]
+    totals = [max(1, sum(c.values())) for c in counts]
     for word in set().union(*counts):
-        most = max(c[word] / max(1, sum(c.values())) for c in counts)
-        for c in counts:
-            if 0 < c[word] / max(1, sum(c.values())) < most / 50:
+        most = max(c[word] / n for c, n in zip(counts, totals))
+        for c, n in zip(counts, totals):
+            if 0 < c[word] / n < most / BORROWED:
                 del c[word]
     model = LanguageModel()
     model.words, floor = _log_frequencies(counts, 0.05)
@@ -111,7 +112,7 @@ def fit(texts: dict[str, list[str]]) -> LanguageModel:
         grams = [Counter() for _ in LANGUAGES]
         for own, count in zip(grams, counts):
             for word, times in count.items():
-                padded = f"^{word[:40]}$"
+                padded = f"^{word}$"
                 for i in range(len(padded) - n + 1):
                     own[padded[i : i + n]] += min(times, 20)
         model.grams[n] = _log_frequencies(grams, 0.05)[0]

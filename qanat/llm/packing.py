@@ -1,8 +1,8 @@
 """Filling containers of a fixed number of tokens.
 
-Documents are sized by a public tokenizer and dealt to random groups of about GROUP_ITEMS by a hash. Each group is packed on its own by first-fit
-decreasing: a tournament tree over the bins' free space finds the first bin that an item fits into in logarithmic time. A group leaves at most one
-bin badly filled, so the unused share falls with the group's size, not with the number of groups.
+Documents are sized by a public tokenizer and dealt to random groups of about GROUP_ITEMS by a hash of id and place, so that repeated ids spread.
+Each group is packed on its own by first-fit decreasing: a tournament tree over the bins' free space finds the first bin that an item fits into in
+logarithmic time. A group leaves at most one bin badly filled, so the unused share falls with the group's size, not with the number of groups.
 """
 
 from __future__ import annotations
@@ -97,7 +97,7 @@ def pack(items: DataFrame, id_column: str, text_column: str, capacity: int = CAP
     items of 0 tokens. Each row is an item, repeated rows too. No rows, no containers. The sum of n_tokens in a container is capacity at most.
     """
     groups = max(1, math.ceil(items.count() / group_items))
-    grouped = items.select(F.col(id_column).cast("long").alias("item_id"), F.pmod(F.xxhash64(F.col(id_column), F.lit(17)), F.lit(groups)).cast("int").alias("grp"), F.col(text_column).alias("text"))
+    grouped = items.select(F.col(id_column).cast("long").alias("item_id"), F.pmod(F.xxhash64(F.col(id_column), F.monotonically_increasing_id()), F.lit(groups)).cast("int").alias("grp"), F.col(text_column).alias("text"))
     sized = grouped.mapInArrow(lambda batches: _sizes(path, batches), "item_id long, grp int, n_tokens long")
     schema = "item_id long, part_index int, first_token long, n_tokens long, container_id string"
     return sized.select("item_id", "grp", "n_tokens").groupBy("grp").applyInPandas(lambda group: _pack(capacity, group), schema)

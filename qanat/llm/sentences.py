@@ -26,12 +26,12 @@ RARE, DECISIVE = 0.01, -8.0
 
 # Quotation marks and what closes them.
 QUOTES = {'"': '"', "«": "»", "“": "”", "”": "“", "„": "“", "「": "」", "『": "』", "‹": "›", "《": "》"}
-_CLOSERS = "\"»”“」』›》’)\\]）】』"
+_CLOSERS = "\"»”“」』›》’)]）】"
 _B = re.escape(BLANKS)
 _LINE_END = re.compile(f"\r\n|[{LINE_ENDS}]")
 _WORD = re.compile(f"[^{_B}]+")
 #: Marks that need a blank behind them, and marks that do not.
-_CANDIDATE = re.compile(f"(?:[.!?؟]+|[。！？｡۔।॥]+[.!?؟。！？]*)(?:[{_CLOSERS}]|[{_B}]»)*")
+_CANDIDATE = re.compile(f"(?:[.!?؟]+|[。！？｡۔।॥]+[.!?؟。！？]*)")
 _FREE = re.compile("[。！？｡۔।॥]")
 _MARKER = re.compile(f"(?:[-–—•*▪◦‣]|[(（]?(?:[0-9٠-٩۰-۹०-९๐-๙]{{1,3}}|[a-zA-Z]|[ivxIVX]{{1,4}}|[ء-ي]|[ก-ฮ]|[一二三四五六七八九十]{{1,3}})(?:[.)）、]|-(?=[{_B}])))[{_B}]*")
 _OPENING = "\"«“”„「『‹《([（¿¡'‘"
@@ -144,7 +144,7 @@ def full_width(text: str, own: list[list[tuple[int, int]]]) -> float:
     longest = max((e - s for b in own for s, e in b), default=0)
     if longest > WIDEST_WRAP:
         return float("inf")
-    open_ = sorted(e - s for b in own for s, e in b[:-1] if not _CANDIDATE.search(text, max(s, e - 3), e))
+    open_ = sorted(e - s for b in own for s, e in b[:-1] if not _CANDIDATE.search(text, max(s, e - 4), e))
     return max(open_[len(open_) // 2] if open_ else 0, 0.85 * longest)
 
 
@@ -154,6 +154,18 @@ def _after(text: str, at: int, end: int) -> str:
     return text[m.start() : min(m.end(), m.start() + 12)] if m else ""
 
 
+def _closed(text: str, stop: int, end: int, openings: set[int], closings: set[int]) -> int:
+    """Behind the quotation marks and brackets that close right behind a mark, or, as in French, behind a blank."""
+    while stop < end:
+        if text[stop] in _CLOSERS and stop not in openings:
+            stop += 1
+        elif stop + 1 < end and text[stop] in BLANKS and stop + 1 in closings:
+            stop += 2
+        else:
+            break
+    return stop
+
+
 def _glued(text: str, mark: int, stop: int) -> bool:
     """Whether a sentence begins right behind the mark: a capital letter after a word in small letters."""
     return text[stop].isupper() and text[max(0, mark - 2) : mark].islower() and text[max(0, mark - 2) : mark].isalpha()
@@ -170,6 +182,7 @@ def unit_ends(text: str, model: Model, training: list | None = None) -> list[int
     for n, block in enumerate(own):
         first, last = block[0][0], block[-1][1]
         quotes = _spans(text, first, last)
+        openings, closings = {a for a, _ in quotes}, {b for _, b in quotes}
         q = 0
         fresh = True  # whether a unit begins with this line
         for i, (start, end) in enumerate(block):
@@ -177,7 +190,7 @@ def unit_ends(text: str, model: Model, training: list | None = None) -> list[int
             if fresh and (m := _MARKER.match(text, start, end)) and (m.end() < end or i + 1 < len(block)) and (text[m.end() - 1] in BLANKS or m.end() == end):
                 at = m.end()
             begin = at
-            places = [(m.start(), m.end(), m.group()) for m in _CANDIDATE.finditer(text, at, end)]
+            places = [(m.start(), stop, text[m.start() : stop]) for m in _CANDIDATE.finditer(text, at, end) for stop in [_closed(text, m.end(), end, openings, closings)]]
             if _THAI.search(text, start, end):
                 places = sorted([*places, *((m.start(), m.start(), " ") for m in _THAI_BLANK.finditer(text, at, end) if _THAI.search(text, begin, m.start()))])
             done = False

@@ -31,7 +31,7 @@ def cut_penalties(text: str, spans: list[tuple[int, int]]) -> np.ndarray:
     out = np.full(len(spans), WORD)
     for i, ((a, b), (after, _)) in enumerate(zip(spans, spans[1:])):
         gap, token = text[b:after], text[max(a, b - 4) : b]
-        if gap.count("\n") > 1 or " " in gap:
+        if gap.count("\n") > 1 or "\u2029" in gap:
             out[i] = PARAGRAPH
         elif _SENTENCE_END.search(token):
             out[i] = SENTENCE / 2 if "\n" in gap else SENTENCE
