@@ -86,7 +86,7 @@ def dense_pools(chunks: DataFrame, queries: DataFrame, k: int = POOL) -> DataFra
                 if not len(batch) or not names:
                     continue
                 rows = batch["embedding_ar"].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), -1)
-                distance = np.round(1 - asked @ (rows / np.linalg.norm(rows, axis=1, keepdims=True)).T, DECIMALS)
+                distance = np.round(1 - asked @ (rows / np.linalg.norm(rows, axis=1, keepdims=True)).T, DECIMALS) + 0.0  # no negative zero
                 kth = np.partition(distance, min(k, len(batch)) - 1, axis=1)[:, min(k, len(batch)) - 1]
                 q, at = np.nonzero(distance <= kth[:, None])
                 take = pa.array(at)
