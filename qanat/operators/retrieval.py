@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from qanat.functions.rank import text_match, text_rank
 from qanat.functions.text import normalize_arabic
-from qanat.functions.vector import cosine_distance, dense_score, usable
+from qanat.functions.vector import dense_score, usable
 
 POOL, TOP, DECIMALS, QUERY_BLOCK = 40, 5, 6, 4096
 
@@ -30,9 +30,8 @@ def current_chunks(chunks: DataFrame, articles: DataFrame, documents: DataFrame)
 
 def dense_pool(chunks: DataFrame, vector: list[float], k: int = POOL) -> DataFrame:
     """The k chunks nearest to a vector: id, article_id, distance (rounded, ties go to the smaller id). Chunks without a vector are left out."""
-    asked = F.array(*(F.lit(float(x)) for x in vector))
-    found = chunks.where(usable(F.col("embedding_ar"))).select("id", "article_id", F.round(cosine_distance(F.col("embedding_ar"), asked), DECIMALS).alias("distance"))
-    return found.orderBy("distance", "id").limit(k)
+    asked = chunks.sparkSession.createDataFrame([("q", [float(x) for x in vector])], "query_id string, vector array<double>")
+    return dense_pools(chunks, asked, k).orderBy("distance", "id").limit(k).select("id", "article_id", "distance")
 
 
 def sparse_pool(chunks: DataFrame, article_words: DataFrame, terms: list[str], k: int = POOL) -> DataFrame:
@@ -68,12 +67,15 @@ def article_words(articles: DataFrame) -> DataFrame:
 def dense_pools(chunks: DataFrame, queries: DataFrame, k: int = POOL) -> DataFrame:
     """The k nearest chunks of every query, exactly: query_id, id, article_id, distance. queries: query_id, vector.
 
+    Vectors without a value other than zero take no part, nor do those of another length than the queries' most frequent one.
     Queries go in blocks of QUERY_BLOCK against all chunks; each task keeps k a query, then the blocks' tasks are merged.
     """
     spark = chunks.sparkSession
     asked = queries.where(usable(F.col("vector"))).select("query_id", "vector")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    scanned = chunks.where(usable(F.col("embedding_ar"))).select("id", "article_id", "embedding_ar")
+    lengths = {r["size"]: r["count"] for r in asked.groupBy(F.size("vector").alias("size")).count().collect()}
+    length = max(lengths, key=lambda x: (lengths[x], x), default=0)
+    asked, blocks = asked.where(F.size("vector") == length), max(1, -(-lengths.get(length, 0) // QUERY_BLOCK))
+    scanned = chunks.where(usable(F.col("embedding_ar")) & (F.size("embedding_ar") == length)).select("id", "article_id", "embedding_ar")
     out = None
     for block in range(blocks):
         own = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).toPandas()

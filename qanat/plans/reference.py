@@ -10,6 +10,7 @@ from qanat.functions.vector import stub_embedding, usable
 from qanat.operators import corpus as C
 from qanat.operators import evaluation as E
 from qanat.operators import retrieval as R
+from qanat.operators import sinks as S
 from qanat.operators import tenancy as N
 from qanat.operators import versions as V
 from qanat.sources.tables import table
@@ -155,6 +156,28 @@ def stale_citations(spark, d):
     return C.stale_citations(*_tables(spark, d, "eval_questions", "articles", "law_documents"))
 
 
+def fresh_questions(spark, d):
+    return S.fresh_questions(*_tables(spark, d, "eval_questions", "articles", "law_documents")).select("id", "domain")
+
+
+def replaced_articles(spark, d):
+    """Articles of the newest versions delivered again with an upper-case number, in place of the held ones."""
+    articles = table(spark, d, "articles").dropDuplicates(["id"]).select("id", "document_id", "article_number")
+    newest = V.latest_documents(table(spark, d, "law_documents")).select("document_id")
+    new = articles.join(newest, "document_id").select("id", "document_id", F.upper("article_number").alias("article_number"))
+    return S.replaced(articles, new, "document_id")
+
+
+def latest_queries(spark, d):
+    """The newest log entry of each tenant."""
+    log = table(spark, d, "query_audit_log").where("tenant_id IS NOT NULL").select("tenant_id", "id", "query_hash", F.struct("created_at", "id").alias("at"))
+    return S.latest_events(log, "tenant_id", "at").select("tenant_id", "id", "query_hash")
+
+
+def cloned_sources(spark, d):
+    return S.cloned(table(spark, d, "sources").select("slug", "type"), "slug", 3)
+
+
 def uncited_articles(spark, d):
     articles, questions = _tables(spark, d, "articles", "eval_questions")
     cited = questions.select(F.explode("expected_citations").alias("id")).distinct()
@@ -274,7 +297,7 @@ _NAMES = (
     "dense_search sparse_search fused_pools hybrid_search dense_search_batch best_chunk_per_article four_way_join chunk_articles chunk_statistics normalized_texts extract_citations citation_edges unchanged_documents"
     " version_chain latest_documents article_diff diff_summary watch_fanout tenant_usage tenant_rows audit_hashes eval_question_scores eval_by_domain eval_overall seed_questions stale_citations uncited_articles"
     " validate_documents corpus_health unpaired_numbers cascade_counts source_upsert corpus_counts articles_per_document expected_articles content_types version_pairs source_lookup json_first event_properties"
-    " split_articles corruption_scan term_frequencies script_routing stub_embeddings fuzzy_parts failing_questions spread_articles"
+    " split_articles corruption_scan term_frequencies script_routing stub_embeddings fuzzy_parts failing_questions spread_articles fresh_questions replaced_articles latest_queries cloned_sources"
 ).split()
 QUERIES = {name: globals()[name] for name in _NAMES}
 
@@ -377,6 +400,10 @@ x AS (SELECT query_id, id, {_dist('v', 'qv')} AS distance FROM q, u) SELECT quer
     "script_routing": "SELECT lang, coalesce(regexp_matches(text, '[\\x{600}-\\x{6FF}]'), false) OR coalesce(lang = 'ar', false) AS arabic, count(*) AS n FROM documents GROUP BY 1, 2",
     "stub_embeddings": "SELECT id, round(list_sum(list_transform(range(0, 64), lambda j: sin(ordering * 97 + j) * 0.01)), 6) AS total FROM (SELECT DISTINCT id, ordering FROM articles)",
     "fuzzy_parts": "WITH g AS (SELECT p_partkey, p_name, list_distinct(list_transform(range(1, length('  ' || p_name || ' ') - 1), lambda i: substr('  ' || lower(p_name) || ' ', i, 3))) AS t, list_distinct(list_transform(range(1, 9), lambda i: substr('  part 42 ', i, 3))) AS q FROM part) SELECT p_partkey, p_name, round(len(list_intersect(t, q)) / len(list_distinct(list_concat(t, q))), 6) AS similarity FROM g WHERE round(len(list_intersect(t, q)) / len(list_distinct(list_concat(t, q))), 6) >= 0.3",
+    "fresh_questions": f"WITH {_A}, {_LATEST}, old AS (SELECT id FROM a WHERE document_id NOT IN (SELECT document_id FROM lt)), q AS (SELECT DISTINCT ON (id) * FROM eval_questions) SELECT id, domain FROM q WHERE expected_citations[1] IS NULL OR expected_citations[1] NOT IN (SELECT id FROM old)",
+    "replaced_articles": f"WITH {_A}, {_LATEST} SELECT id, document_id, CASE WHEN document_id IN (SELECT document_id FROM lt) THEN upper(article_number) ELSE article_number END AS article_number FROM a",
+    "latest_queries": "SELECT tenant_id, arg_max(id, (created_at, id)) AS id, arg_max(query_hash, (created_at, id)) AS query_hash FROM query_audit_log WHERE tenant_id IS NOT NULL GROUP BY 1",
+    "cloned_sources": "SELECT 'clone_' || i || '_' || slug AS slug, type FROM sources, range(0, 3) AS r(i)",
     "failing_questions": f"{_SCORES} SELECT question_id, domain FROM sc WHERE recall = 0",
     "spread_articles": f"WITH r AS (SELECT DISTINCT id, document_id, ordering FROM articles), {_spread('r', 'document_id', 'ordering, id')} SELECT document_id, id FROM picked",
 }

@@ -78,6 +78,16 @@ def page_lines(items: DataFrame) -> DataFrame:
     return items.groupBy("page").applyInPandas(lines, "page int, line int, text string")
 
 
+def read_binary(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
+    """path, length, content of binary files such as PDFs."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length", "content")
+
+
+def parse_vector(c: Column) -> Column:
+    """array<float> of a text like [1,2.5]; null for anything else."""
+    return F.from_json(c, "array<float>")
+
+
 def source_metadata(name: Column) -> Column:
     """struct<slug, code, type, issuer> of a source: as registered, or its own name in capitals, a regulation of an unknown issuer."""
     unknown = F.struct(name.alias("slug"), F.upper(name).alias("code"), F.lit("regulation").alias("type"), F.lit("Unknown").alias("issuer"))

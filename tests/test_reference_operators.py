@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from qanat.functions.vector import cosine_distance, stub_embedding
-from qanat.operators import corpus, evaluation, ingest, retrieval, versions
+from qanat.operators import corpus, embedding, evaluation, ingest, retrieval, sinks, versions
 from qanat.operators.tenancy import TenantContext
 from qanat.sources import files
 from qanat.streaming.changes import stream_notices
@@ -125,3 +125,35 @@ def test_stream_equals_batch(spark, tmp_path):
 def test_source_metadata(spark):
     rows = spark.createDataFrame([("labor",), ("new_one",)], "n string").select(files.source_metadata(F.col("n")).alias("m")).select("m.*").collect()
     assert [tuple(r)[:3] for r in rows] == [("labor", "LABOR_LAW", "statute"), ("new_one", "NEW_ONE", "regulation")]
+
+
+def test_embedding_in_batches_with_retries(spark):
+    calls = []
+
+    def provider(texts):
+        calls.append(len(texts))
+        if len(calls) == 1:
+            raise embedding.Throttled
+        return embedding.hashed_provider(4)(texts)
+
+    assert len(embedding.call(provider, ["a", "b"], wait_s=0)) == 2 and calls == [2, 2]
+    with pytest.raises(embedding.Throttled):
+        embedding.call(lambda t: (_ for _ in ()).throw(embedding.Throttled), ["a"], retries=1, wait_s=0)
+    rows = spark.createDataFrame([(str(i), "same" if i % 2 else f"t{i}") for i in range(200)] + [("n", None), ("e", "")], "id string, text string")
+    got = {r["id"]: r["vector"] for r in embedding.embedded(rows, embedding.hashed_provider(4)).collect()}
+    assert len(got) == 202 and got["1"] == got["3"] != got["2"] and got["n"] is None and got["e"] is None
+
+
+def test_sinks(spark, tmp_path):
+    held = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    new = spark.createDataFrame([("a", 9)], "k string, v int")
+    assert sorted(r["v"] for r in sinks.replaced(held, new, "k").collect()) == [2, 3, 9]
+    assert sorted(r["v"] for r in sinks.without_keys(held, new, "k").collect()) == [2, 3]
+    events = spark.createDataFrame([("r", 1, "running"), ("r", 2, "success")], "k string, at int, status string")
+    assert [r["status"] for r in sinks.latest_events(events, "k", "at").collect()] == ["success"]
+    sinks.write_json(held, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).count() == 3
+    assert sinks.cloned(held.where("k = 'a'"), "k", 2).count() == 2
+    assert spark.range(1).select(files.parse_vector(F.lit("[1,2.5]")).alias("v")).first()["v"] == [1.0, 2.5]
+    (tmp_path / "x.pdf").write_bytes(b"%PDF")
+    assert files.read_binary(spark, str(tmp_path)).count() == 1
