@@ -248,14 +248,16 @@ def calibrated_visits(distinct: DataFrame, tree: Tree, k: int, queries: np.ndarr
 def nearest(rows: DataFrame, k: int = 5, target: float = TARGET) -> DataFrame:
     """(id_a, id_b), id_a < id_b: pairs in which one is among the k nearest of the other.
 
-    rows: id, vector (array<float>, all of one length). Ties of the rounded similarity go to the smaller id. Rows without a usable vector take
-    no part. With k or fewer others, all of them are neighbours; fewer than two rows give no pairs.
+    rows: id, vector (array<float>). Ties of the rounded similarity go to the smaller id. Rows without a usable vector and vectors of another
+    length than the most frequent one take no part. With k or fewer others, all are neighbours; fewer than two rows give no pairs.
     """
     spark, wanted = rows.sparkSession, k + 1
     distinct = cut_lineage(distinct_vectors(rows, wanted))
-    n = distinct.count()
-    if not n:
+    lengths = {r["size"]: r["count"] for r in distinct.groupBy(F.size("vector").alias("size")).count().collect()}
+    if not lengths:
         return spark.createDataFrame([], "id_a string, id_b string")
+    length = max(lengths, key=lambda x: (lengths[x], x))
+    distinct, n = distinct.where(F.size("vector") == length), lengths[length]
     share = min(1.0, 1.2 * SAMPLE / n)
     at = F.shiftright("k1", 11)
     bounds = -(2**52), int(share * 2**53) - 2**52

@@ -26,7 +26,7 @@ def test_small_tables_are_exact(spark):
 
 
 def test_few_rows(spark):
-    rows = [("a", [1, 0]), ("b", [0, 1]), ("c", [1, 1]), ("c", [1, 1])]
+    rows = [("a", [1, 0]), ("b", [0, 1]), ("c", [1, 1]), ("c", [1, 1]), ("d", [1, 2, 3])]
     assert {tuple(r) for r in N.nearest(frame(spark, rows)).collect()} == {("a", "b"), ("a", "c"), ("b", "c")}
     assert N.nearest(frame(spark, rows[:1])).count() == 0
     assert N.nearest(frame(spark, [])).count() == 0
