@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from qanat.session import cut_lineage, partitions
 
-SAMPLE, CALIBRATION, TARGET = 16_384, 256, 0.985
-BRANCHES, LEAF_ROWS, LEAF_SAMPLE, CELL_ROWS, SLICE_QUERIES = 8, 1_024, 12, 16_384, 65_536
+SAMPLE, CALIBRATION, TARGET = 16_384, 512, 0.985
+BRANCHES, LEAF_ROWS, LEAF_SAMPLE, CELL_ROWS, SLICE_QUERIES = 8, 1_024, 12, 32_768, 65_536
 DECIMALS, SHORTLIST = 9, 8
 
 
@@ -261,7 +261,8 @@ def nearest(rows: DataFrame, k: int = 5, target: float = TARGET) -> DataFrame:
     share = min(1.0, 1.2 * SAMPLE / n)
     at = F.shiftright("k1", 11)
     bounds = -(2**52), int(share * 2**53) - 2**52
-    sample = _vectors(distinct.where(at.between(*bounds)).limit(SAMPLE).select("vector").toArrow()["vector"])
+    drawn = distinct.where(at.between(*bounds)).orderBy("k1", "k2").limit(SAMPLE).select("vector")  # by hash: the same at every run
+    sample = _vectors(drawn.toArrow()["vector"])
     tree = fit_tree(unit(sample), n)
     rng = np.random.default_rng(11)
     visits = calibrated_visits(distinct, tree, k, sample[rng.permutation(len(sample))[:CALIBRATION]], target)
