@@ -361,10 +361,10 @@ def _hyphenated(words: DataFrame) -> frozenset[str]:
     return frozenset(r["word"] for r in found.select("word").collect())
 
 
-def examined(texts: DataFrame, words: DataFrame) -> DataFrame:
-    """hash, kinds (of furniture and broken words), suspects (its rare words and those of odd form) of each text."""
+def examined(texts: DataFrame, words: DataFrame, misread: DataFrame) -> DataFrame:
+    """hash, kinds (of furniture and broken words), suspects (all its words but frequent ones that are not misread) of each text."""
     spark = texts.sparkSession
-    common = words.where(F.col("n") >= 1000).orderBy(F.desc("n"), "word").limit(SHARD)
+    common = words.where(F.col("n") >= 1000).join(misread, "word", "left_anti").orderBy(F.desc("n"), "word").limit(SHARD)
     shared = spark.sparkContext.broadcast((heading_table(texts), _hyphenated(words), frozenset(r["word"] for r in common.select("word").collect() if not odd_places(r["word"]))))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,8 +388,9 @@ def scan_noise(misa: DataFrame, articles: DataFrame, documents: DataFrame) -> Da
     """
     records, texts = scanned_records(misa, articles, documents)
     words = cut_lineage(word_table(texts))
-    seen = cut_lineage(examined(texts, words))
-    wrong = seen.select("hash", F.explode("suspects").alias("word")).join(misread_words(words), "word", "left_semi").select("hash", F.lit(WRONG_CHAR).alias("noise_kind")).distinct()
+    misread = misread_words(words)
+    seen = cut_lineage(examined(texts, words, misread))
+    wrong = seen.select("hash", F.explode("suspects").alias("word")).join(misread, "word", "left_semi").select("hash", F.lit(WRONG_CHAR).alias("noise_kind")).distinct()
     kinds = seen.select("hash", F.explode("kinds").alias("noise_kind")).unionByName(wrong)
     return records.join(kinds, "hash").select("record_table", "record_id", "noise_kind")
 
@@ -419,8 +420,9 @@ def repaired(misa: DataFrame, articles: DataFrame, documents: DataFrame) -> Data
     spark = misa.sparkSession
     records, texts = scanned_records(misa, articles, documents)
     words = cut_lineage(word_table(texts))
-    seen = examined(texts, words)
-    fixes = seen.select("hash", F.explode("suspects").alias("word")).join(misread_words(words).where(F.size("choices") > 0), "word").groupBy("hash").agg(F.collect_list(F.struct("word", F.col("choices.word").alias("choices"))).alias("fixes"))
+    misread = misread_words(words)
+    seen = examined(texts, words, misread)
+    fixes = seen.select("hash", F.explode("suspects").alias("word")).join(misread.where(F.size("choices") > 0), "word").groupBy("hash").agg(F.collect_list(F.struct("word", F.col("choices.word").alias("choices"))).alias("fixes"))
     shared = spark.sparkContext.broadcast((heading_table(texts), _hyphenated(words), word_pairs(texts)))
 
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -73,6 +73,16 @@ def test_noise_and_repair(spark):
     assert texts["misa", "104"].startswith(whole + "\n\n1. ")
 
 
+def test_frequent_misreadings_are_found_and_corrected(spark):
+    misa = [(i, "deadline " * 1100 + f"ledger inside entry{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}", None) for i in range(70)]
+    misa += [(100, "beadline " * 1100, None), (101, "the lebger is here", None), (102, "all insibe of it", None), (103, "clean deadline ledger", None)]
+    tables = records(spark, misa, [], [])
+    got = sorted(tuple(r) for r in S.scan_noise(*tables).collect())
+    assert got == [("misa", str(i), "wrong_char") for i in (100, 101, 102)]
+    texts = {r["record_id"]: r["text"] for r in S.repaired(*tables).collect()}
+    assert set(texts["100"].split()) == {"deadline"} and texts["101"] == "the ledger is here"
+
+
 def test_noise_of_empty_tables(spark):
     assert S.scan_noise(*records(spark, [], [], [])).count() == 0
 
