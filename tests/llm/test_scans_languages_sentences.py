@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from qanat.llm import languages as L
@@ -167,3 +168,40 @@ def test_abbreviations_are_learned(spark):
     assert got.count() == 120 * 8
     assert {r["sentence"][-1] for r in got.collect()} == {"."} and not any(r["sentence"].endswith("Art.") for r in got.collect())
     assert X.sentence_units(frame.limit(0)).count() == 0
+
+
+def test_a_long_line_elsewhere_does_not_change_wrapped_paragraphs():
+    wrapped = "This sentence is wrapped by hand behind its words and\ngoes on in a second line of about the same size, then\nends in a third line that is filled as well to here."
+    assert len(units(wrapped)) == 1
+    assert len(units(wrapped + "\n\n" + "one long line of words that no wrap has cut " * 5)) == 2
+    assert len(units("first entry of a list that is not wrapped\nsecond entry\n" + "third entry that goes on and on " * 6)) == 3
+
+
+def test_words_are_read_whole():
+    long_ = "donaudampfschifffahrtsgesellschaftskapitänsmützen"
+    model = X.Model()
+    assert X.token_before(f"of {long_}.", 0, 3 + len(long_)) == long_
+    assert X._after(f" {long_} x", 0, 60) == long_
+    model = counted([f"see {long_}. B of it {i}." for i in range(30)] + [f"it ends here {i}.\n\nso does this one." for i in range(200)])
+    assert model.abbreviates(long_) and not model.abbreviates("one")
+
+
+def counted(texts):
+    import pyarrow as pa
+
+    parts = [b for b in X._counted(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))]
+    table = pa.Table.from_batches(parts).sort_by("key")
+    return X.Model(table["key"].to_numpy(), np.array([table[c].to_numpy() for c in ("inside", "ending", "plain", "opening")]), 0.5)
+
+
+@pytest.mark.parametrize("text, wanted", [("Առաջին նախադասություն։ Երկրորդ։", 2), ("የመጀመሪያ ዓረፍተ ነገር።ሁለተኛ።", 2), ("ប្រយោគទីមួយ។ប្រយោគទីពីរ។", 2), ("ပထမစာကြောင်း။ဒုတိယ။", 2)])
+def test_units_of_other_scripts(text, wanted):
+    assert len(units(text)) == wanted
+
+
+def test_texts_without_blanks_take_time_in_proportion():
+    import time
+
+    began = time.perf_counter()
+    assert len(units("文" * 40 + "。", None)) == 1 and len(units(("文" * 40 + "。") * 20_000)) == 20_000
+    assert time.perf_counter() - began < 20
