@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qanat.llm.languages import language_segments, record_languages
-from qanat.llm.leakage import leaks, literal_leaks
+from qanat.llm.leakage import leaks, literal_leaks, measured_recall as leak_recall
 from qanat.llm.lookalikes import consistent_texts, lookalike_pairs
 from qanat.llm.neighbours import measured_recall, nearest
 from qanat.llm.packing import pack
@@ -71,6 +71,11 @@ def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(*_bench(spark, sf_dir))
 
 
+def p9_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many planted literal and reworded passages of every item are found among all documents."""
+    return leak_recall(*_bench(spark, sf_dir))
+
+
 def _scanned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
     return tuple(table(spark, sf_dir, t) for t in ("misa", "articles", "law_documents"))
 
@@ -103,7 +108,7 @@ def p10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_units(_documents(spark, sf_dir))
 
 
-QUERIES = {"p5_found": p5_found, "p5_segments": p5_segments, "p4_found": p4_found, "p4_repaired": p4_repaired, "p10_found": p10_found, "p10_sentences": p10_sentences, "p2_found": p2_found, "p2_recall": p2_recall, "p9_found": p9_found, "p9_report": p9_report, "p3_found": p3_found, "p3_pieces": p3_pieces, "p7_found": p7_found, "p7_forms": p7_forms, "p8_packing": p8_packing}
+QUERIES = {"p5_found": p5_found, "p5_segments": p5_segments, "p4_found": p4_found, "p4_repaired": p4_repaired, "p10_found": p10_found, "p10_sentences": p10_sentences, "p2_found": p2_found, "p2_recall": p2_recall, "p9_found": p9_found, "p9_report": p9_report, "p9_recall": p9_recall, "p3_found": p3_found, "p3_pieces": p3_pieces, "p7_found": p7_found, "p7_forms": p7_forms, "p8_packing": p8_packing}
 
 # The characters with the property White_Space, as a class for DuckDB's expressions.
 _BLANK = "\\x{9}-\\x{D}\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
