@@ -2,7 +2,8 @@
 
 Words come first: a known word scores its log frequency in each language; an unseen word falls back to its character n-grams, from long to short.
 The most likely sequence of languages over a text's words, with a price on each change, gives its segments; a language is in the text if a whole
-sentence of the body is in it. The word and n-gram frequencies are fitted on at most SAMPLE_TEXTS labelled texts of each language.
+sentence of the body is in it. The word and n-gram frequencies are fitted on at most SAMPLE_TEXTS labelled texts of each language that has LEAST_TEXTS.
+Stretches whose characters none of these languages has come out as OTHER, with confidence 0.
 """
 
 from __future__ import annotations
@@ -15,14 +16,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qanat.functions.visual import visual_key
 from qanat.llm.scans import furniture, join_words
 
-LANGUAGES = ("ar", "en", "fr", "ur", "fa")
-SAMPLE_TEXTS, LONGEST_GRAM, BACKOFF, CHANGE, SENTENCE_WORDS, BORROWED = 1500, 4, 1.5, 7.0, 4, 50
+OTHER = "und"
+SAMPLE_TEXTS, LEAST_TEXTS, LONGEST_GRAM, BACKOFF, CHANGE, SENTENCE_WORDS, BORROWED = 1500, 3, 4, 1.5, 7.0, 4, 50
 
 # Names and codes of languages as labels write them.
 NAMES = {
@@ -31,6 +32,13 @@ NAMES = {
     "fr": ("fr", "fra", "fre", "french"),
     "ur": ("ur", "urd", "urdu"),
     "fa": ("fa", "fas", "per", "persian", "farsi", "pes"),
+    "zh": ("zh", "zho", "chi", "chinese", "cmn"),
+    "hi": ("hi", "hin", "hindi"),
+    "th": ("th", "tha", "thai"),
+    "de": ("de", "deu", "ger", "german"),
+    "es": ("es", "spa", "spanish"),
+    "tr": ("tr", "tur", "turkish"),
+    "ru": ("ru", "rus", "russian"),
 }
 # Labels that name no language.
 NO_LANGUAGE = ("", "unknown", "und", "mul", "zxx", "none", "null", "n/a", "na", "other", "mixed", "?", "-", "and")
@@ -57,15 +65,17 @@ def labelled_languages(label: str | None) -> frozenset[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies: words[w] and grams[n][g] hold one number per language."""
+    """Log frequencies: words[w] and grams[n][g] hold one number per language; the last one is OTHER's, which unknown characters alone favour."""
 
+    languages: tuple[str, ...] = (OTHER,)
     words: dict[str, np.ndarray] = field(default_factory=dict)
     grams: list[dict[str, np.ndarray]] = field(default_factory=lambda: [{} for _ in range(LONGEST_GRAM + 1)])
-    floor: np.ndarray = field(default_factory=lambda: np.full(len(LANGUAGES), -16.0))
+    floor: float = -16.0
     _kept: dict[str, np.ndarray] = field(default_factory=dict)
+    _tokens: dict[str, tuple[list[str], bool]] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_kept": {}}
+        return self.__dict__ | {"_kept": {}, "_tokens": {}}
 
     def score(self, word: str) -> np.ndarray:
         """The word's score in each language; unseen words back off to the longest n-grams that are known."""
@@ -73,7 +83,17 @@ class LanguageModel:
         if known is None:
             if len(self._kept) > 200_000:
                 self._kept.clear()
-            known = self._kept[word] = self.words[word] if word in self.words else self._backed_off(word)
+            own = self.words[word] if word in self.words else self._backed_off(word)
+            known = self._kept[word] = np.append(own, self.floor + 1)
+        return known
+
+    def parts(self, token: str) -> tuple[list[str], bool]:
+        """The words of a token, and whether a sentence may end behind it."""
+        known = self._tokens.get(token)
+        if known is None:
+            if len(self._tokens) > 200_000:
+                self._tokens.clear()
+            known = self._tokens[token] = plain_words(token), bool(_END.search(token))
         return known
 
     def _backed_off(self, word: str) -> np.ndarray:
@@ -82,7 +102,7 @@ class LanguageModel:
             found = [g for i in range(len(padded) - n + 1) if (g := self.grams[n].get(padded[i : i + n])) is not None]
             if 2 * len(found) >= len(padded) - n + 1:
                 return np.maximum(self.floor, np.mean(found, axis=0) - BACKOFF * (LONGEST_GRAM + 1 - n))
-        return self.floor.copy()
+        return np.full(len(self.languages) - 1, self.floor)
 
 
 def plain_words(text: str) -> list[str]:
@@ -99,35 +119,54 @@ def _log_frequencies(counts: list[Counter], smoothing: float) -> tuple[dict[str,
 
 def fit(texts: dict[str, list[str]]) -> LanguageModel:
     """The model of labelled texts. A text's words count for its label; words that another label has BORROWED times as often do not."""
-    counts = [Counter(w for t in texts.get(language, ()) for w in plain_words(t)) for language in LANGUAGES]
+    languages = tuple(sorted(texts))
+    counts = [Counter(w for t in texts[language] for w in plain_words(t)) for language in languages]
     totals = [max(1, sum(c.values())) for c in counts]
     for word in set().union(*counts):
         most = max(c[word] / n for c, n in zip(counts, totals))
         for c, n in zip(counts, totals):
             if 0 < c[word] / n < most / BORROWED:
                 del c[word]
-    model = LanguageModel()
+    model = LanguageModel((*languages, OTHER))
+    if not any(counts):
+        return model
     model.words, floor = _log_frequencies(counts, 0.05)
     for n in range(1, LONGEST_GRAM + 1):
-        grams = [Counter() for _ in LANGUAGES]
+        grams = [Counter() for _ in languages]
         for own, count in zip(grams, counts):
             for word, times in count.items():
                 padded = f"^{word}$"
                 for i in range(len(padded) - n + 1):
                     own[padded[i : i + n]] += min(times, 20)
         model.grams[n] = _log_frequencies(grams, 0.05)[0]
-    model.floor = np.full(len(LANGUAGES), float(floor.min()) - 2) if any(counts) else model.floor
+    model.floor = float(floor.min()) - 2
     return model
 
 
 def trained_model(documents: DataFrame) -> LanguageModel:
-    """The model of at most SAMPLE_TEXTS texts for each label, chosen by their hash. documents: text, lang."""
-    labelled = documents.where(F.col("lang").isin(*LANGUAGES) & (F.col("text") != ""))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
-    some = labelled.select("lang", "text").withColumn("rank", rank).where(F.col("rank") <= SAMPLE_TEXTS).select("lang", "text").collect()
+    """The model of about SAMPLE_TEXTS texts for each language, those of the smallest hashes. documents: text, lang.
+
+    A label counts as the one language it means. How many texts each label has decides which share of the hashes is read, so no label's texts
+    are sorted or gathered, however many they are.
+    """
+    labelled = documents.where(F.col("lang").isNotNull() & (F.col("text") != "")).select("lang", "text")
+    of, sizes = {}, Counter()
+    for row in labelled.groupBy("lang").count().collect():  # one row a label as written
+        meant = labelled_languages(row["lang"])
+        if len(meant) == 1:
+            of[row["lang"]] = next(iter(meant))
+            sizes[of[row["lang"]]] += row["count"]
+    shares = {label: int(min(1.0, 1.1 * SAMPLE_TEXTS / sizes[language]) * 2**52) for label, language in of.items() if sizes[language] >= LEAST_TEXTS}
+    if not shares:
+        return LanguageModel()
+    bound = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))[F.col("lang")]
+    key = F.shiftrightunsigned(F.xxhash64("text"), 12)
+    some = labelled.where(key <= bound).select("lang", "text", key.alias("key")).collect()
     texts: dict[str, list[str]] = {}
-    for r in some:
-        texts.setdefault(r["lang"], []).append(r["text"])
+    for r in sorted(some, key=lambda r: (r["key"], r["text"])):
+        held = texts.setdefault(of[r["lang"]], [])
+        if len(held) < SAMPLE_TEXTS:
+            held.append(r["text"])
     return fit(texts)
 
 
@@ -150,6 +189,30 @@ def body(text: str) -> str:
     return join_words("\n".join(line for i, line in enumerate(lines) if i not in found), frozenset())[0]
 
 
+def best_path(score: np.ndarray, price: list[float]) -> list[int]:
+    """The language of each word on the path of the highest score; a change behind word i costs price[i].
+
+    Where no stretch of words gains the least price of a change over the best single language, that language is the path.
+    """
+    best = int(score.sum(0).argmax())
+    rest = score.copy()
+    rest[:, best] = -np.inf
+    gain = np.cumsum(np.append(0.0, rest.max(1) - score[:, best]))
+    if (gain - np.minimum.accumulate(gain)).max() < min(price):
+        return [best] * len(score)
+    total, back = score[0].copy(), np.zeros(score.shape, np.int8)
+    stay = np.arange(score.shape[1])
+    for i in range(1, len(score)):
+        top = int(total.argmax())
+        moved = total[top] - price[i - 1]
+        back[i] = np.where(total >= moved, stay, top)
+        total = np.maximum(total, moved) + score[i]
+    path = [int(total.argmax())]
+    for i in range(len(score) - 1, 0, -1):
+        path.append(int(back[i, path[-1]]))
+    return path[::-1]
+
+
 def segments(text: str, model: LanguageModel) -> list[Segment]:
     """Segments of a body in their order. Text without letters has none.
 
@@ -157,8 +220,7 @@ def segments(text: str, model: LanguageModel) -> list[Segment]:
     """
     words, places, ends = [], [], []
     for m in _PLACED_WORD.finditer(text):
-        own = plain_words(m.group())
-        closing = bool(_END.search(m.group()))
+        own, closing = model.parts(m.group())
         gap = text[m.end() : m.end() + 2]
         for i, w in enumerate(own):
             words.append(w)
@@ -169,24 +231,15 @@ def segments(text: str, model: LanguageModel) -> list[Segment]:
     if not words:
         return []
     score = np.array([model.score(w) for w in words])
-    best, back = score[0].copy(), np.zeros((len(words), len(LANGUAGES)), np.int8)
-    for i in range(1, len(words)):
-        price = CHANGE * (0.3 if ends[i - 1] == 2 else 0.7 if ends[i - 1] == 1 else 1.0)
-        top = int(best.argmax())
-        moved = best[top] - price
-        back[i] = np.where(best >= moved, np.arange(len(LANGUAGES)), top)
-        best = np.maximum(best, moved) + score[i]
-    path = [int(best.argmax())]
-    for i in range(len(words) - 1, 0, -1):
-        path.append(int(back[i, path[-1]]))
-    path.reverse()
+    path = best_path(score, [CHANGE * (0.3 if e == 2 else 0.7 if e == 1 else 1.0) for e in ends])
     out, first = [], 0
     for i in range(1, len(words) + 1):
         if i < len(words) and path[i] == path[first]:
             continue
         own = score[first:i].sum(0)
         own = own - own.max()
-        sure = float(np.exp(own[path[first]]) / np.exp(own).sum())
+        language = model.languages[path[first]]
+        sure = float(np.exp(own[path[first]]) / np.exp(own).sum()) if language != OTHER else 0.0
         # A sentence is whole when it closes within the segment and enough of its words are in it.
         run, whole = 0, False
         for j in range(first, i):
@@ -194,7 +247,7 @@ def segments(text: str, model: LanguageModel) -> list[Segment]:
             if ends[j] == 2:
                 whole |= run >= SENTENCE_WORDS
                 run = 0
-        out.append(Segment(LANGUAGES[path[first]], places[first][0], places[i - 1][1], i - first, whole, sure))
+        out.append(Segment(language, places[first][0], places[i - 1][1], i - first, whole, sure))
         first = i
     return out
 
@@ -203,7 +256,7 @@ def text_languages(text: str, model: LanguageModel) -> dict[str, float]:
     """Languages with a whole sentence in the text, each with the confidence of its longest segment."""
     out: dict[str, tuple[int, float]] = {}
     for s in segments(body(text), model):
-        if s.whole and s.words > out.get(s.language, (0, 0.0))[0]:
+        if s.whole and s.language != OTHER and s.words > out.get(s.language, (0, 0.0))[0]:
             out[s.language] = (s.words, s.confidence)
     return {language: sure for language, (_, sure) in out.items()}
 

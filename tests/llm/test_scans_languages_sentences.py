@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -106,7 +107,7 @@ TEXTS = {
 
 
 def test_languages_of_records(spark):
-    documents = spark.createDataFrame([(t * 3, lang, 1) for lang, t in TEXTS.items()] + [(None, "en", 1), ("x", None, 1)], "text string, lang string, confidence int")
+    documents = spark.createDataFrame([(t * 3 + " " * n, lang, 1) for lang, t in TEXTS.items() for n in range(3)] + [(None, "en", 1), ("x", None, 1)], "text string, lang string, confidence int")
     rows = [
         (1, "ar", TEXTS["ar"]), (2, "en", TEXTS["fr"]), (3, "fr", TEXTS["fr"] + " " + TEXTS["ur"]), (4, None, TEXTS["fa"]), (5, "en", "the member (طلب نسخة) may request a copy of the file."),
         (6, "en", None), (7, "en", ""), (8, "ar", "تقرير المجلس\n" + TEXTS["en"] + "\nتقرير المجلس\n" + TEXTS["en"]),
@@ -123,7 +124,33 @@ def test_held_out_accuracy():
     model = L.fit({k: [v] for k, v in TEXTS.items()})
     held = {"en": "a member may publish every report of the council.", "fr": "chaque conseil doit demander une copie.", "ar": "يجوز لكل مجلس أن ينشر نسخة.", "ur": "ہر کونسل فائل شائع کر سکتا ہے۔", "fa": "هر شورا باید پرونده را منتشر کند."}
     assert {k: set(L.text_languages(v, model)) for k, v in held.items()} == {k: {k} for k in held}
-    assert model.score("councillor").argmax() == L.LANGUAGES.index("en")  # an unseen word, by its n-grams
+    assert model.score("councillor").argmax() == model.languages.index("en")  # an unseen word, by its n-grams
+
+
+def test_other_scripts_and_other_labels(spark):
+    model = L.fit({k: [v] for k, v in TEXTS.items()})
+    assert L.text_languages("τὸ συμβούλιο ἐκδίδει τὴν ἔκθεσιν αὐτοῦ.", model) == {}
+    assert [(s.language, s.confidence) for s in L.segments("τὸ συμβούλιο ἐκδίδει τὴν ἔκθεσιν αὐτοῦ.", model)] == [(L.OTHER, 0.0)]
+    german = "der Rat muss den Bericht jedes Jahr im Amt vorlegen. die Gebühr ist sofort fällig."
+    rows = [(t * 3 + f" {n}", lang, 1) for lang, t in TEXTS.items() for n in range(3)] + [(german + f" {n}", label, 1) for n, label in enumerate(["de", "DEU", "German"])]
+    documents = spark.createDataFrame(rows, "text string, lang string, confidence int")
+    records = spark.createDataFrame([(1, "en", "der Rat muss den Bericht im Amt vorlegen.")], "rec_id long, language string, text string")
+    assert [(r["true_language"], r["labelled"]) for r in L.record_languages(records, documents).collect()] == [("de", False)]
+
+
+def test_paths_are_the_best():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        n, k = rng.integers(1, 7), 3
+        score, price = rng.normal(0, rng.choice([0.3, 3]), (n, k)), rng.choice([0.6, 1.4, 2.0], n).tolist()
+        value = lambda p: sum(score[i, x] for i, x in enumerate(p)) - sum(price[i] for i in range(n - 1) if p[i] != p[i + 1])
+        assert abs(value(L.best_path(score, price)) - max(value(p) for p in itertools.product(range(k), repeat=int(n)))) < 1e-9
+
+
+def test_no_label_is_gathered_in_one_task(spark):
+    documents = spark.createDataFrame([(f"the council shall publish report {i}. it is due.", "en") for i in range(9000)], "text string, lang string")
+    model = L.trained_model(documents)
+    assert model.languages == ("en", L.OTHER) and "council" in model.words
 
 
 def units(text, model=None):
