@@ -1,27 +1,29 @@
 """The k most similar vectors of every vector, by cosine.
 
-A hierarchical k-means tree is fitted on a bounded sample (SAMPLE vectors) and indexes every vector. A query walks the tree best-bin-first: a
+A hierarchical k-means tree is fitted on a bounded sample (SAMPLE vectors, more for large tables, MOST_SAMPLE at most) and indexes every vector. A query walks the tree best-bin-first: a
 priority queue holds the unopened nodes by the similarity of their centres, the best one is opened next, and a leaf is searched when it comes up.
 How many leaves a query visits is calibrated: for CALIBRATION queries the true neighbours are found by brute force over all vectors, and visits
 are widened until TARGET of them lie in visited leaves. Subtrees of about CELL_ROWS vectors are cells, the unit of distribution: a query travels
-once to each cell that holds leaves it visits. Equal vectors are folded together first, so copies cost one query.
+once to each cell that holds leaves it visits. Vectors of one direction are folded together first, so copies cost a few queries, scaled ones too.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qanat.session import cut_lineage, partitions
 
-SAMPLE, CALIBRATION, TARGET = 16_384, 512, 0.985
+SAMPLE, MOST_SAMPLE, CALIBRATION, TARGET = 16_384, 1 << 18, 512, 0.985
 BRANCHES, LEAF_ROWS, LEAF_SAMPLE, CELL_ROWS, SLICE_QUERIES = 8, 1_024, 12, 32_768, 65_536
-DECIMALS, SHORTLIST = 9, 8
+DECIMALS, SHORTLIST, DIRECTION = 9, 8, 1e6
+_USABLE = "id IS NOT NULL AND vector IS NOT NULL AND exists(vector, x -> x <> 0) AND forall(vector, x -> x IS NOT NULL AND NOT isnan(x))"
 
 
 @dataclass
@@ -89,11 +91,12 @@ def fit_tree(sample: np.ndarray, rows: int, leaf_rows: int = LEAF_ROWS, cell_row
     return Tree(np.array(centres, np.float32), children, np.array(cell_of_leaf), np.array(leaf_of_node))
 
 
-def visited_leaves(tree: Tree, queries: np.ndarray, visits: int, block: int = 1024) -> np.ndarray:
+def visited_leaves(tree: Tree, queries: np.ndarray, visits: int) -> np.ndarray:
     """The first `visits` leaves of each query (fewer leaves: -1), best bin first; a batch of priority queues, one row of a matrix each."""
     leaves = len(tree.cell_of_leaf)
     out = np.full((len(queries), min(visits, leaves)), -1, np.int32)
     inner = [i for i, c in enumerate(tree.children) if c]
+    block = max(16, min(1024, (1 << 22) // len(tree.centres)))
     for start in range(0, len(queries), block):
         similar = queries[start : start + block] @ tree.centres.T
         queue = np.full_like(similar, -np.inf)
@@ -139,9 +142,9 @@ def exact_similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _best(queries: np.ndarray, plan: list[tuple[np.ndarray, np.ndarray]], members: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates (query, member) of a cell: at least the `wanted` best of each query, with all that tie with the last of them.
+    """Candidates (query, member) of a cell: at least the `wanted` best of each query, ties of the rounded similarity by the members' order.
 
-    plan: (queries, members) of each visited leaf.
+    plan: (queries, members) of each visited leaf. Members come in the order of their smallest ids.
     """
     q_unit, m_unit = unit(queries), unit(members)
     keep = max(SHORTLIST, wanted + 1)
@@ -158,18 +161,38 @@ def _best(queries: np.ndarray, plan: list[tuple[np.ndarray, np.ndarray]], member
     what = which[who, at]
     torn = np.isfinite(last) & (best.min(1) >= last)  # more may tie than were kept
     if torn.any():
-        more = [(part, own) for asked, own in plan for part in [asked[torn[asked]]] if len(part)]
-        tied = [(part[q], own[m]) for part, own in more for q, m in [np.nonzero(q_unit[part] @ m_unit[own].T >= last[part][:, None])]]
-        who, what = np.concatenate([who[~torn[who]], *(q for q, _ in tied)]), np.concatenate([what[~torn[who]], *(m for _, m in tied)])
+        tied = _among_ties(queries, plan, members, wanted, torn)
+        who, what = np.concatenate([who[~torn[who]], tied[0]]), np.concatenate([what[~torn[who]], tied[1]])
     return who, what
 
 
+def _among_ties(queries: np.ndarray, plan: list[tuple[np.ndarray, np.ndarray]], members: np.ndarray, wanted: int, torn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The `wanted` best members of the torn queries by exact similarity and order; no more of them are held, however many tie."""
+    exact = lambda x: x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    number = np.cumsum(torn) - 1
+    value, which = np.full((int(torn.sum()), wanted), np.inf), np.full((int(torn.sum()), wanted), len(members))
+    for asked, own in plan:
+        part = asked[torn[asked]]
+        for start in range(0, len(part), 256):
+            q = exact(queries[part[start : start + 256]])
+            row = number[part[start : start + 256]]
+            for first in range(0, len(own), 4096):
+                some = own[first : first + 4096]
+                near = np.concatenate([-np.round(q @ exact(members[some]).T, DECIMALS), value[row]], axis=1)
+                names = np.concatenate([np.broadcast_to(some, (len(row), len(some))), which[row]], axis=1)
+                order = np.lexsort((names, near))[:, :wanted]
+                value[row], which[row] = np.take_along_axis(near, order, 1), np.take_along_axis(names, order, 1)
+    at, column = np.nonzero(which < len(members))
+    return np.flatnonzero(torn)[at], which[at, column]
+
+
 _RESULT = "k1 long, k2 long, near array<struct<negative: double, id: string>>"
 _NEAR = pa.list_(pa.struct([("negative", pa.float64()), ("id", pa.string())]))
 
 
 def _search_cell(wanted: int, rows: pa.Table) -> pa.Table:
     """The best of one cell (members have a leaf) for those of its members that ask and for visiting queries."""
+    rows = rows.take(pa.array(np.argsort(np.array([x[0] if x else "" for x in rows["ids"].to_pylist()], object), kind="stable")))
     leaf = rows["leaf"].to_numpy()
     inside, asks = np.flatnonzero(leaf >= 0), np.flatnonzero(rows["asks"].to_numpy(zero_copy_only=False))
     empty = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("near", _NEAR)]).empty_table()
@@ -199,17 +222,25 @@ def _search_cell(wanted: int, rows: pa.Table) -> pa.Table:
     return pa.table([asking["k1"], asking["k2"], pa.ListArray.from_arrays(pa.array(counts, pa.int32()), flat).cast(_NEAR)], schema=empty.schema)
 
 
+def _classed(rows: DataFrame) -> DataFrame:
+    """id, vector, c1, c2 of usable rows: two hashes of the direction."""
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    direction = F.transform("vector", lambda x: F.rint(x / F.col("norm") * DIRECTION).cast("int"))
+    directed = rows.where(_USABLE).select("id", "vector", norm.alias("norm")).select("id", "vector", direction.alias("d"))
+    return directed.select("id", "vector", F.xxhash64("d").alias("c1"), F.xxhash64(F.lit(1), "d").alias("c2"))
+
+
 def distinct_vectors(rows: DataFrame, wanted: int) -> DataFrame:
-    """k1, k2, vector, ids (the `wanted` smallest), copies of each distinct usable vector of rows (id, vector).
+    """k1, k2, vector, ids, c1, c2, more: each distinct usable vector of rows (id, vector) with ids that have it.
 
-    Vectors that are null, empty, all zero or hold nulls or NaN are left out, as are rows without an id. Copies beyond the smallest ids are
-    only counted, and are cut off before the shuffle.
+    Vectors that are null, empty, all zero or hold nulls or NaN are left out, as are rows without an id. (c1, c2) is the direction, to six
+    decimals: all of one direction have similarity 1 to each other (to DECIMALS). Of a direction the `wanted` smallest ids are held; `more` says
+    that there are others, which are cut off before the shuffle: their neighbours are those smallest ids.
     """
-    usable = rows.where("id IS NOT NULL AND vector IS NOT NULL AND exists(vector, x -> x <> 0) AND forall(vector, x -> x IS NOT NULL AND NOT isnan(x))")
-    keyed = usable.select("id", "vector", F.xxhash64("vector").alias("k1"), F.xxhash64(F.lit(1), "vector").alias("k2"))
-    first = keyed.withColumn("rank", F.dense_rank().over(Window.partitionBy("k1", "k2").orderBy("id"))).where(F.col("rank") <= wanted + 1)
-    folded = first.groupBy("k1", "k2").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_set("id")).alias("ids"))
-    return folded.select("k1", "k2", "vector", F.slice("ids", 1, wanted).alias("ids"), (F.size("ids") > wanted).alias("more"))
+    keyed = _classed(rows).select("id", "vector", F.xxhash64("vector").alias("k1"), F.xxhash64(F.lit(1), "vector").alias("k2"), "c1", "c2")
+    first = keyed.withColumn("rank", F.dense_rank().over(Window.partitionBy("c1", "c2").orderBy("id"))).where(F.col("rank") <= wanted + 1)
+    first = first.withColumn("more", F.max("rank").over(Window.partitionBy("c1", "c2")) > wanted).where(F.col("rank") <= wanted)
+    return first.groupBy("c1", "c2", "k1", "k2").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_set("id")).alias("ids"), F.first("more").alias("more"))
 
 
 def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -245,39 +276,47 @@ def calibrated_visits(distinct: DataFrame, tree: Tree, k: int, queries: np.ndarr
     return int(needed[max(0, int(np.ceil(target * len(needed))) - 1)])
 
 
-def nearest(rows: DataFrame, k: int = 5, target: float = TARGET) -> DataFrame:
-    """(id_a, id_b), id_a < id_b: pairs in which one is among the k nearest of the other.
+@dataclass
+class Index:
+    """A fitted tree, how many leaves a query visits, and into how many slices the queries of each cell are cut."""
 
-    rows: id, vector (array<float>). Ties of the rounded similarity go to the smaller id. Rows without a usable vector and vectors of another
-    length than the most frequent one take no part. With k or fewer others, all are neighbours; fewer than two rows give no pairs.
-    """
-    spark, wanted = rows.sparkSession, k + 1
-    distinct = cut_lineage(distinct_vectors(rows, wanted))
-    lengths = {r["size"]: r["count"] for r in distinct.groupBy(F.size("vector").alias("size")).count().collect()}
-    if not lengths:
-        return spark.createDataFrame([], "id_a string, id_b string")
-    length = max(lengths, key=lambda x: (lengths[x], x))
-    distinct, n = distinct.where(F.size("vector") == length), lengths[length]
-    share = min(1.0, 1.2 * SAMPLE / n)
+    tree: Tree
+    visits: int
+    slices: np.ndarray
+
+
+def fit_index(distinct: DataFrame, n: int, k: int, target: float = TARGET) -> Index:
+    """The index of n distinct vectors of one length. Calibration queries are outside the fitted sample where the table has more than that."""
+    size = min(n, MOST_SAMPLE, max(SAMPLE, 3 * n * LEAF_SAMPLE // (2 * LEAF_ROWS)))
+    share = min(1.0, 1.2 * (size + CALIBRATION) / n)
     at = F.shiftright("k1", 11)
-    bounds = -(2**52), int(share * 2**53) - 2**52
-    drawn = distinct.where(at.between(*bounds)).orderBy("k1", "k2").limit(SAMPLE).select("vector")  # by hash: the same at every run
+    drawn = distinct.where(at.between(-(2**52), int(share * 2**53) - 2**52)).orderBy("k1", "k2").limit(size + CALIBRATION).select("vector")  # by hash: the same at every run
     sample = _vectors(drawn.toArrow()["vector"])
-    tree = fit_tree(unit(sample), n)
     rng = np.random.default_rng(11)
-    visits = calibrated_visits(distinct, tree, k, sample[rng.permutation(len(sample))[:CALIBRATION]], target)
-    shared = spark.sparkContext.broadcast(tree)  # bounded by SAMPLE
+    fitted, asked = (sample[:size], sample[size:]) if len(sample) == size + CALIBRATION else (sample, sample[rng.permutation(len(sample))[:CALIBRATION]])
+    tree = fit_tree(unit(fitted), n)
+    visits = calibrated_visits(distinct, tree, k, asked, target)
+    seen = visited_leaves(tree, unit(fitted[:SAMPLE]), visits)
+    cell = np.where(seen >= 0, tree.cell_of_leaf[seen], -1)
+    cell.sort(axis=1)
+    new = (cell >= 0) & np.c_[np.ones(len(cell), bool), np.diff(cell, axis=1) > 0]
+    load = np.bincount(cell[new], minlength=int(tree.cell_of_leaf.max()) + 1) * (n / max(1, len(cell)))
+    return Index(tree, visits, np.maximum(1, np.ceil(load / SLICE_QUERIES)).astype(np.int32))
+
+
+def routed_rows(distinct: DataFrame, index: Index, first_cell: int) -> DataFrame:
+    """A row for each cell and slice that a vector visits; in its home cell it is a member (leaf >= 0) of every slice too, and asks in one."""
+    shared = distinct.sparkSession.sparkContext.broadcast(index)  # bounded by MOST_SAMPLE
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row in each cell that a vector visits; in its home cell it is a member (leaf >= 0) too."""
-        tree = shared.value
+        tree, slices = shared.value.tree, shared.value.slices
         cells = int(tree.cell_of_leaf.max()) + 1
         for batch in batches:
             if not len(batch):
                 continue
             vectors = _vectors(batch["vector"])
             own = unit(vectors)
-            home, seen = home_leaf(tree, own), visited_leaves(tree, own, visits)
+            home, seen = home_leaf(tree, own), visited_leaves(tree, own, shared.value.visits)
             row = np.repeat(np.arange(len(own)), seen.shape[1])[seen.ravel() >= 0]
             seen = seen.ravel()[seen.ravel() >= 0]
             at_home = tree.cell_of_leaf[home]
@@ -287,38 +326,103 @@ def nearest(rows: DataFrame, k: int = 5, target: float = TARGET) -> DataFrame:
             edges = np.searchsorted(key[order], np.append(places, len(own) * cells))
             row, cell = places // cells, places % cells
             inside = at_home[row] == cell
-            leaves = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(seen[order], pa.int32()))
-            take = pa.array(row)
+            mine = batch["k2"].to_numpy()[row] % slices[cell]
+            copies = np.where(inside, slices[cell], 1)
+            at = np.repeat(np.arange(len(row)), copies)
+            part = np.where(inside[at], np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies), mine[at])
+            leaves = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(seen[order], pa.int32())).take(pa.array(at))
             raw = pa.array([v.tobytes() for v in vectors], pa.binary())
-            ids = batch["ids"].take(pa.array(np.where(inside, row, 0), mask=~inside))
-            arrays = [pa.array(cell, pa.int32()), batch["k1"].take(take), batch["k2"].take(take), pa.array(np.where(inside, home[row], -1), pa.int32()), leaves, raw.take(take), ids]
-            yield pa.RecordBatch.from_arrays(arrays, ["cell", "k1", "k2", "leaf", "leaves", "vector", "ids"])
-
-    routed = distinct.mapInArrow(route, "cell int, k1 long, k2 long, leaf int, leaves array<int>, vector binary, ids array<string>")
-    if n <= SLICE_QUERIES * 4:
-        placed = routed.withColumn("slice", F.lit(0)).withColumn("asks", F.lit(True))
-    else:  # a cell is searched by as many tasks as its queries ask for; each has all members of the cell and one slice of the queries
-        load = {r["cell"]: -(-r["count"] // SLICE_QUERIES) for r in routed.groupBy("cell").count().collect()}
-        slices = F.coalesce(F.create_map(*(F.lit(x) for pair in load.items() for x in pair))[F.col("cell")], F.lit(1))
-        mine = F.pmod("k2", slices).cast("int")
-        everywhere = F.when(F.col("leaf") >= 0, F.sequence(F.lit(0), slices - 1)).otherwise(F.array(mine))
-        placed = routed.withColumn("slice", F.explode(everywhere)).withColumn("asks", F.col("slice") == mine)
+            take = pa.array(row[at])
+            ids = batch["ids"].take(pa.array(np.where(inside, row, 0)[at], mask=~inside[at]))
+            arrays = [pa.array(cell[at] + first_cell, pa.int32()), pa.array(part, pa.int32()), pa.array(part == mine[at]), batch["k1"].take(take), batch["k2"].take(take), pa.array(np.where(inside, home[row], -1)[at], pa.int32()), leaves, raw.take(take), ids]
+            yield pa.RecordBatch.from_arrays(arrays, ["cell", "slice", "asks", "k1", "k2", "leaf", "leaves", "vector", "ids"])
+
+    return distinct.mapInArrow(route, "cell int, slice int, asks boolean, k1 long, k2 long, leaf int, leaves array<int>, vector binary, ids array<string>")
+
+
+def nearest(rows: DataFrame, k: int = 5, target: float = TARGET) -> DataFrame:
+    """(id_a, id_b), id_a < id_b: pairs in which one is among the k nearest of the other.
+
+    rows: id, vector (array<float>). Ties of the rounded similarity go to the smaller id; of more than k + 1 vectors of one direction (to six
+    decimals) the smallest ids stand for all. Rows without a usable vector take no part; vectors of different length are never neighbours, each
+    length has its own tree. With k or fewer others, all are neighbours; fewer than two rows give no pairs.
+    """
+    spark, wanted = rows.sparkSession, k + 1
+    distinct = cut_lineage(distinct_vectors(rows, wanted))
+    lengths = {r["size"]: r["count"] for r in distinct.groupBy(F.size("vector").alias("size")).count().collect()}
+    placed, first_cell = None, 0
+    for length in sorted(lengths, key=lambda x: (-lengths[x], x)):
+        own = distinct.where(F.size("vector") == length) if len(lengths) > 1 else distinct
+        index = fit_index(own, lengths[length], k, target)
+        routed = routed_rows(own, index, first_cell)
+        placed = routed if placed is None else placed.unionByName(routed)
+        first_cell += len(index.slices)
+    if placed is None:
+        return spark.createDataFrame([], "id_a string, id_b string")
     found = placed.groupBy("cell", "slice").applyInArrow(lambda rows: _search_cell(wanted, rows), _RESULT)
     best = found.groupBy("k1", "k2").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, wanted).alias("near"))
-    asked = distinct.select("k1", "k2", "ids", "more").join(best, ["k1", "k2"])
-    listed = asked.select(F.explode("ids").alias("id"), "near")
-    if distinct.where("more").limit(1).count():
-        rest = rows.select("id", F.xxhash64("vector").alias("k1"), F.xxhash64(F.lit(1), "vector").alias("k2")).join(asked.where("more"), ["k1", "k2"])
-        listed = listed.unionByName(rest.where("NOT array_contains(ids, id)").select("id", "near"))
+    listed = distinct.select("k1", "k2", "ids").join(best, ["k1", "k2"]).select(F.explode("ids").alias("id"), "near")
     others = F.slice(F.filter("near", lambda c: c["id"] != F.col("id")), 1, k)
-    return listed.select("id", F.explode(others).alias("c")).select(F.least("id", "c.id").alias("id_a"), F.greatest("id", "c.id").alias("id_b")).distinct()
+    pairs = listed.select("id", F.explode(others).alias("c")).select("id", F.col("c.id").alias("other"))
+    if distinct.where("more").limit(1).count():
+        full = distinct.where("more").groupBy("c1", "c2").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, wanted).alias("ids"))
+        rest = _classed(rows).select("id", "c1", "c2").join(full, ["c1", "c2"]).where("NOT array_contains(ids, id)")
+        pairs = pairs.unionByName(rest.select("id", F.explode(F.slice("ids", 1, k)).alias("other")))
+    return pairs.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()
+
+
+def build_index(rows: DataFrame, path: str, k: int = 5, target: float = TARGET) -> None:
+    """Stores an index of rows (id, vector) below path: every usable vector of the most frequent length by its leaf, and the tree.
+
+    Vectors of other lengths go to leaf -1, which every query of their length reads whole.
+    """
+    distinct = cut_lineage(distinct_vectors(rows, k + 1))
+    lengths = {r["size"]: r["count"] for r in distinct.groupBy(F.size("vector").alias("size")).count().collect()}
+    length = max(lengths, key=lambda x: (lengths[x], x), default=0)
+    index = fit_index(distinct.where(F.size("vector") == length), lengths[length], k, target) if lengths else None
+    shared = rows.sparkSession.sparkContext.broadcast(index)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = np.full(len(batch), -1, np.int32)
+            own = np.flatnonzero(batch["vector"].value_lengths().to_numpy(zero_copy_only=False) == length)
+            if len(own) and shared.value is not None:
+                leaf[own] = home_leaf(shared.value.tree, unit(_vectors(batch["vector"].take(pa.array(own)))))
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["vector"], pa.array(leaf)], ["id", "vector", "leaf"])
+
+    placed = rows.where(_USABLE).select("id", "vector").mapInArrow(place, "id string, vector array<float>, leaf int")
+    placed.repartition("leaf").sortWithinPartitions("leaf").write.mode("overwrite").parquet(f"{path}/vectors")
+    rows.sparkSession.createDataFrame([(length, bytearray(pickle.dumps(index)))], "length int, index binary").coalesce(1).write.mode("overwrite").parquet(f"{path}/tree")
+
+
+def search_index(spark: SparkSession, path: str, vector: list[float], k: int = 5) -> DataFrame:
+    """id, similarity (to DECIMALS) of the k vectors most similar to the asked one, best first, ties by id, from the leaves it visits.
+
+    Only the leaves' row groups are read. A vector of zeros, of nulls or without values has no neighbours.
+    """
+    held = spark.read.parquet(f"{path}/tree").first()
+    asked = np.array([np.nan if x is None else x for x in vector], np.float64).reshape(1, -1)
+    stored = spark.read.parquet(f"{path}/vectors")
+    if not np.isfinite(asked).all() or not asked.any():
+        stored, leaves = stored.limit(0), [-1]
+    elif len(vector) != held["length"]:
+        leaves = [-1]
+    else:
+        index: Index = pickle.loads(held["index"])
+        leaves = visited_leaves(index.tree, unit(asked), index.visits)[0].tolist()
+    norm = float(np.linalg.norm(asked)) or 1.0
+    q = F.array(*(F.lit(float(x)) for x in asked[0] / norm))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+    similar = F.round(dot(F.col("vector"), q) / F.sqrt(dot(F.col("vector"), F.col("vector"))), DECIMALS)
+    return stored.where(F.col("leaf").isin(leaves) & (F.size("vector") == len(vector))).select("id", similar.alias("similarity")).orderBy(F.desc("similarity"), "id").limit(k)
 
 
 def measured_recall(rows: DataFrame, found: DataFrame, k: int = 5, one_in: int = 50) -> DataFrame:
     """Recall of found pairs against brute force, for one row in `one_in` (by the hash of its id) against all rows: queries, wanted, met, recall."""
-    usable = rows.where("id IS NOT NULL AND vector IS NOT NULL AND exists(vector, x -> x <> 0) AND forall(vector, x -> x IS NOT NULL AND NOT isnan(x))").dropDuplicates(["id"])
+    usable = rows.where(_USABLE).dropDuplicates(["id"])
     asked = usable.where(F.pmod(F.xxhash64("id"), F.lit(one_in)) == 0)
-    blocks = asked.select(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(max(1, asked.count() // 2000))).alias("block"), "id", "vector").groupBy("block").agg(F.collect_list(F.struct("id", "vector")).alias("queries"))
+    n_blocks = max(1, asked.count() // 2000)
+    blocks = asked.select(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(n_blocks)).alias("block"), "id", "vector").groupBy("block").agg(F.collect_list(F.struct("id", "vector")).alias("queries"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,7 +436,7 @@ def measured_recall(rows: DataFrame, found: DataFrame, k: int = 5, one_in: int =
 
     parts = max(4 * partitions(rows.sparkSession), usable.count() // 4096)
     spread = usable.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))).groupBy("part").agg(F.collect_list("id").alias("ids"), F.collect_list("vector").alias("vectors"))
-    near = spread.crossJoin(F.broadcast(blocks)).mapInArrow(scan, "id string, other string, negative double")
+    near = spread.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(blocks, "block").mapInArrow(scan, "id string, other string, negative double")
     best = near.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("negative", "other"))).where(F.col("rank") <= k)
     wanted = best.select("id", F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b"))
     met = wanted.join(found.withColumn("met", F.lit(1)), ["id_a", "id_b"], "left")

@@ -113,7 +113,16 @@ QUERIES = {"p5_found": p5_found, "p5_segments": p5_segments, "p4_found": p4_foun
 # The characters with the property White_Space, as a class for DuckDB's expressions.
 _BLANK = "\\x{9}-\\x{D}\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
 
+# Exact where the table fits one leaf of the tree (LEAF_ROWS distinct vectors); beyond, p2_recall measures what is lost.
+_P2 = """
+WITH v AS (SELECT id, CAST(embedding_ar AS DOUBLE[]) AS e FROM article_chunks WHERE id IS NOT NULL AND list_max(list_transform(embedding_ar, lambda x: abs(x))) > 0),
+s AS (SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.e, b.e), 9) AS near FROM v a JOIN v b ON a.id <> b.id),
+t AS (SELECT a, b FROM s QUALIFY row_number() OVER (PARTITION BY a ORDER BY near DESC, b) <= 5)
+SELECT DISTINCT least(a, b) AS chunk_id_a, greatest(a, b) AS chunk_id_b FROM t
+"""
+
 ORACLES = {
+    "p2_found": _P2,
     "p3_found": f"""
 SELECT record_table, record_id FROM (
   SELECT 'articles' AS record_table, id AS record_id, CASE WHEN text_ar <> '' THEN text_ar ELSE text_en END AS t FROM articles
