@@ -192,13 +192,13 @@ _NEAR = pa.list_(pa.struct([("negative", pa.float64()), ("id", pa.string())]))
 
 def _search_cell(wanted: int, rows: pa.Table) -> pa.Table:
     """The best of one cell (members have a leaf) for those of its members that ask and for visiting queries."""
-    rows = rows.take(pa.array(np.argsort(np.array([x[0] if x else "" for x in rows["ids"].to_pylist()], object), kind="stable")))
-    leaf = rows["leaf"].to_numpy()
+    leaf, ids = rows["leaf"].to_numpy(), rows["ids"].to_pylist()
     inside, asks = np.flatnonzero(leaf >= 0), np.flatnonzero(rows["asks"].to_numpy(zero_copy_only=False))
+    inside = np.array(sorted(inside.tolist(), key=lambda i: ids[i][0]), np.int64)
     empty = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("near", _NEAR)]).empty_table()
     if not len(inside) or not len(asks):
         return empty
-    vectors, ids = _matrix(rows["vector"].combine_chunks()), rows["ids"].to_pylist()
+    vectors = _matrix(rows["vector"].combine_chunks())
     asking = rows.take(pa.array(asks))
     visits = asking["leaves"].combine_chunks()
     visit_leaf, visitor = visits.flatten().to_numpy(), np.repeat(np.arange(len(asks)), visits.value_lengths().to_numpy(zero_copy_only=False))
@@ -222,12 +222,34 @@ def _search_cell(wanted: int, rows: pa.Table) -> pa.Table:
     return pa.table([asking["k1"], asking["k2"], pa.ListArray.from_arrays(pa.array(counts, pa.int32()), flat).cast(_NEAR)], schema=empty.schema)
 
 
-def _classed(rows: DataFrame) -> DataFrame:
-    """id, vector, c1, c2 of usable rows: two hashes of the direction."""
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    direction = F.transform("vector", lambda x: F.rint(x / F.col("norm") * DIRECTION).cast("int"))
-    directed = rows.where(_USABLE).select("id", "vector", norm.alias("norm")).select("id", "vector", direction.alias("d"))
-    return directed.select("id", "vector", F.xxhash64("d").alias("c1"), F.xxhash64(F.lit(1), "d").alias("c2"))
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Usable rows with two 64-bit hashes of the vector and two of its direction: sums over the places, each with its own odd factor."""
+    factors = np.zeros((4, 0), np.uint64)
+    for batch in batches:
+        lists = batch["vector"]
+        size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = lists.flatten()
+        value = flat.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False)
+        if size.max(initial=0) > factors.shape[1]:
+            factors = np.random.default_rng(17).integers(0, 1 << 63, (int(size.max()), 4), np.int64).astype(np.uint64).T * np.uint64(2) + np.uint64(1)
+        filled = np.flatnonzero(size)
+        begin = (np.cumsum(size) - size)[filled]
+        place = np.arange(len(value)) - np.repeat(begin, size[filled])
+        norm = np.sqrt(np.add.reduceat(value**2, begin)) if len(value) else np.zeros(0)
+        usable = np.isfinite(norm) & (norm > 0)
+        ids = batch["id"].is_valid().to_numpy(zero_copy_only=False)[filled]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            turned = np.rint(np.nan_to_num(value / np.repeat(norm, size[filled]) * DIRECTION)).astype(np.int64).view(np.uint64)
+        bits = (value + 0.0).astype(np.float64).view(np.uint64) >> np.uint64(29)  # all that a single-precision number has
+        hashes = [np.add.reduceat(x * f[place], begin).view(np.int64) if len(value) else np.zeros(0, np.int64) for x, f in zip((bits, bits, turned, turned), factors)] if len(value) else [np.zeros(0, np.int64)] * 4
+        kept = np.flatnonzero(usable & ids)
+        take = pa.array(filled[kept])
+        yield pa.RecordBatch.from_arrays([batch["id"].take(take), lists.take(take), *(pa.array(h[kept]) for h in hashes)], ["id", "vector", "k1", "k2", "c1", "c2"])
+
+
+def keyed_vectors(rows: DataFrame) -> DataFrame:
+    """id, vector, k1, k2 (of the vector), c1, c2 (of its direction) of rows with an id and a vector of numbers that are not all zero."""
+    return rows.select("id", "vector").mapInArrow(_keys, "id string, vector array<float>, k1 long, k2 long, c1 long, c2 long")
 
 
 def distinct_vectors(rows: DataFrame, wanted: int) -> DataFrame:
@@ -237,8 +259,7 @@ def distinct_vectors(rows: DataFrame, wanted: int) -> DataFrame:
     decimals: all of one direction have similarity 1 to each other (to DECIMALS). Of a direction the `wanted` smallest ids are held; `more` says
     that there are others, which are cut off before the shuffle: their neighbours are those smallest ids.
     """
-    keyed = _classed(rows).select("id", "vector", F.xxhash64("vector").alias("k1"), F.xxhash64(F.lit(1), "vector").alias("k2"), "c1", "c2")
-    first = keyed.withColumn("rank", F.dense_rank().over(Window.partitionBy("c1", "c2").orderBy("id"))).where(F.col("rank") <= wanted + 1)
+    first = keyed_vectors(rows).withColumn("rank", F.dense_rank().over(Window.partitionBy("c1", "c2").orderBy("id"))).where(F.col("rank") <= wanted + 1)
     first = first.withColumn("more", F.max("rank").over(Window.partitionBy("c1", "c2")) > wanted).where(F.col("rank") <= wanted)
     return first.groupBy("c1", "c2", "k1", "k2").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_set("id")).alias("ids"), F.first("more").alias("more"))
 
@@ -326,7 +347,7 @@ def routed_rows(distinct: DataFrame, index: Index, first_cell: int) -> DataFrame
             edges = np.searchsorted(key[order], np.append(places, len(own) * cells))
             row, cell = places // cells, places % cells
             inside = at_home[row] == cell
-            mine = batch["k2"].to_numpy()[row] % slices[cell]
+            mine = (batch["k2"].to_numpy()[row] >> 8) % slices[cell]
             copies = np.where(inside, slices[cell], 1)
             at = np.repeat(np.arange(len(row)), copies)
             part = np.where(inside[at], np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies), mine[at])
@@ -366,7 +387,7 @@ def nearest(rows: DataFrame, k: int = 5, target: float = TARGET) -> DataFrame:
     pairs = listed.select("id", F.explode(others).alias("c")).select("id", F.col("c.id").alias("other"))
     if distinct.where("more").limit(1).count():
         full = distinct.where("more").groupBy("c1", "c2").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, wanted).alias("ids"))
-        rest = _classed(rows).select("id", "c1", "c2").join(full, ["c1", "c2"]).where("NOT array_contains(ids, id)")
+        rest = keyed_vectors(rows).select("id", "c1", "c2").join(full, ["c1", "c2"]).where("NOT array_contains(ids, id)")
         pairs = pairs.unionByName(rest.select("id", F.explode(F.slice("ids", 1, k)).alias("other")))
     return pairs.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()
 
