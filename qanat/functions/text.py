@@ -19,9 +19,10 @@ HUNDREDS = {"المائة": 100, "المائتين": 200}
 WEB_PHRASES = ("government website registered", "privacy policy", "cookies", "skip to content")
 
 CHUNK_WORDS, CHUNK_OVERLAP = 512, 50
-CITATION = rf"(?:ال|لل)ماد[ةه]\s+({'|'.join(ORDINAL_UNITS)})(?:\s+({TEEN}))?(?:\s+و({'|'.join(ORDINAL_TENS)}))?(?:\s+بعد\s+({'|'.join(HUNDREDS)}))?(\s{{0,2}}[:：])?"
+CITATION = rf"(?:ال|لل)ماد[ةه]{WS}+({'|'.join(ORDINAL_UNITS)})(?:{WS}+({TEEN}))?(?:{WS}+و({'|'.join(ORDINAL_TENS)}))?(?:{WS}+بعد{WS}+({'|'.join(HUNDREDS)}))?({WS}{{0,2}}[:：])?"
 ARABIC = r"[\x{600}-\x{6FF}]"
-ARTICLE_HEADER = r"الماد[ةه]\s*\(\s*(\d+)\s*\)"
+# Fixed value: a header of an article in running text.
+ARTICLE_HEADER = rf"الماد[ةه]{WS}*\({WS}*(\d+){WS}*\)"
 
 
 def squeeze(c: Column) -> Column:
@@ -69,16 +70,6 @@ def citations(text: Column) -> Column:
     return F.transform(hits, lambda m: F.struct(value(m).alias("article_number"), m.alias("matched_text")))
 
 
-def without_heading(c: Column) -> Column:
-    """What follows the first colon, trimmed; the whole text without one."""
-    return F.when(F.instr(c, ":") > 0, F.regexp_replace(F.expr(f"substring({_name(c)}, instr({_name(c)}, ':') + 1)"), f"^{WS}+|{WS}+$", "")).otherwise(c)
-
-
-def _name(c: Column) -> str:
-    """The SQL text of a plain column."""
-    return c._jc.toString()
-
-
 def first_words(c: Column, n: int = 15) -> Column:
     return F.array_join(F.slice(words(c), 1, n), " ")
 
@@ -102,16 +93,27 @@ def split_articles(text: Column) -> Column:
     return F.when(text.rlike(ARTICLE_HEADER), kept).otherwise(F.array(F.struct(F.lit(1).alias("number"), squeeze(text).alias("body"))))
 
 
+def snippets(c: Column, pattern: str, n: int = 5, around: int = 15) -> Column:
+    """The first n matches of a pattern, each with up to `around` characters on either side."""
+    return F.slice(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"(?s).{{0,{around}}}(?:{pattern}).{{0,{around}}}"), F.lit(0)), 1, n)
+
+
+#: What extraction damages: a letter repeated where no word has it, scripts that run into each other, characters that are no text.
+REPEATED, CONTROLS = r"([\x{600}-\x{6FF}])\1\1+", r"[\p{Cc}&&[^\t\n\r\x{80}-\x{9F}]]"
+_GLUED = r"^[A-Za-z]+[\x{600}-\x{6FF}]|[\x{600}-\x{6FF}][A-Za-z]+($|[\x{600}-\x{6FF}])"
+
+
 def corruption(c: Column) -> Column:
-    """struct of counts: letters three times in a row, Latin glued to Arabic, control characters."""
+    """struct of counts: letters three times in a row, words in which Latin letters are glued to Arabic ones, control characters."""
     count = lambda rx: F.size(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(rx), F.lit(0)))
-    return F.struct(
-        count(r"([\x{600}-\x{6FF}])\1{2,}").alias("repeated_letters"),
-        count(r"[\x{600}-\x{6FF}][A-Za-z]+[\x{600}-\x{6FF}]|[\x{600}-\x{6FF}][A-Za-z]+(?=\s|$)|(?:^|\s)[A-Za-z]+[\x{600}-\x{6FF}]").alias("glued_latin"),
-        count(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]").alias("controls"),
-    )
+    return F.struct(count(REPEATED).alias("repeated_letters"), F.size(F.filter(words(c), lambda w: w.rlike(_GLUED))).alias("glued_latin"), count(CONTROLS).alias("controls"))
 
 
 def search_terms(c: Column) -> Column:
     """Words in small letters as the text index holds them: runs of letters and digits, each once."""
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+
+
+def iso_time(c: Column) -> Column:
+    """The time of an ISO text, or now where it is null or no time."""
+    return F.coalesce(F.try_to_timestamp(c), F.current_timestamp())

@@ -63,6 +63,30 @@ def spread_sample(rows: DataFrame, group: str, order: list[str], k: int) -> Data
     return placed.where(F.array_contains(picks, F.col("_at").cast("long"))).drop("_at", "_n")
 
 
+def first_picks(rows: DataFrame, group: str, order: list[str], k: int) -> DataFrame:
+    """At most k rows of each group, evenly spaced from its first one: step max(1, n / k), places 0, step, ..."""
+    w = Window.partitionBy(group)
+    placed = rows.withColumn("_at", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(w))
+    step = F.greatest(F.lit(1), F.floor(F.col("_n") / F.least(F.lit(k), F.col("_n"))))
+    return placed.where((F.col("_at") % step == 0) & (F.col("_at") < step * k)).drop("_at", "_n")
+
+
+def leading_articles(articles: DataFrame, documents: DataFrame, n: int) -> DataFrame:
+    """source_id, id, ordering of the first n articles, in order, of each source's current versions."""
+    current = documents.where("superseded_by IS NULL").select(F.col("id").alias("document_id"), "source_id")
+    rows = articles.select("id", "document_id", "ordering").distinct().join(current, "document_id")
+    place = F.row_number().over(Window.partitionBy("source_id").orderBy("ordering", "id"))
+    return rows.withColumn("_at", place).where(F.col("_at") <= n).select("source_id", "id", "ordering")
+
+
+def first_with_content(articles: DataFrame) -> DataFrame:
+    """document_id, article_id, question: the first article of each version that says something: 20 characters, and over 20 in its first words."""
+    text, opening = F.col("text_ar"), first_words(F.col("text_ar"))
+    able = articles.where((F.length(text) >= 20) & (F.length(opening) > 20) & F.col("document_id").isNotNull())
+    first = F.min_by(F.struct(F.col("id").alias("article_id"), opening.alias("question")), F.struct("ordering", "id"))
+    return able.groupBy("document_id").agg(first.alias("f")).select("document_id", "f.*")
+
+
 def seed_questions(articles: DataFrame, documents: DataFrame, questions: DataFrame, k: int = 3) -> DataFrame:
     """source_id, article_id, question: the first words of evenly spaced articles of the latest versions that have structure and no question yet."""
     cited = questions.select(F.explode("expected_citations").alias("article_id")).distinct()
@@ -96,6 +120,19 @@ def cascade_counts(sources: DataFrame, documents: DataFrame, articles: DataFrame
     return out
 
 
+def cascade(sources: DataFrame, documents: DataFrame, articles: DataFrame, chunks: DataFrame, prefix: str) -> dict[str, DataFrame]:
+    """The rows of each table that stay when all sources whose slug has the prefix are removed with everything below them, children first."""
+    gone = sources.where(F.col("slug").startswith(prefix)).select(F.col("id").alias("source_id"))
+    docs = documents.join(gone, "source_id", "left_semi").select(F.col("id").alias("document_id"))
+    arts = articles.join(docs, "document_id", "left_semi").select(F.col("id").alias("article_id")).distinct()
+    return {
+        "article_chunks": chunks.join(arts, "article_id", "left_anti").select(chunks.columns),
+        "articles": articles.join(docs, "document_id", "left_anti").select(articles.columns),
+        "law_documents": documents.join(gone, "source_id", "left_anti").select(documents.columns),
+        "sources": sources.where(~F.coalesce(F.col("slug").startswith(prefix), F.lit(False))),
+    }
+
+
 def upsert_sources(held: DataFrame, new: DataFrame) -> DataFrame:
     """Sources after an upsert on slug: code, type, issuer and updated_at of known ones change; jurisdiction and language_primary stay."""
     h, n = held.alias("h"), new.alias("n")

@@ -34,6 +34,12 @@ def audit_projection(log: DataFrame) -> DataFrame:
     return log.dropDuplicates(["id"]).select("id", "tenant_id", own.alias("computed_hash"), F.coalesce(own == F.col("query_hash"), F.lit(False)).alias("matches"))
 
 
+def hashed_responses(log: DataFrame) -> DataFrame:
+    """id, response_hash of what each logged query gave, worked out from its ids; rows delivered twice count once."""
+    response = F.to_json(F.coalesce("retrieved_chunk_ids", F.array().cast("array<string>")))
+    return log.select("id", F.sha2(response, 256).alias("response_hash")).groupBy("id").agg(F.min("response_hash").alias("response_hash"))
+
+
 def tenant_usage(log: DataFrame) -> DataFrame:
     """tenant_id, queries, users, texts, mean_latency of each tenant. Partial sums before the shuffle carry the busiest tenant."""
     rows = log.groupBy("id").agg(*(F.first(c).alias(c) for c in ("tenant_id", "user_id", "query_hash", "latency_ms")))

@@ -13,6 +13,7 @@ from qanat.operators import retrieval as R
 from qanat.operators import sinks as S
 from qanat.operators import tenancy as N
 from qanat.operators import versions as V
+from qanat.sources.files import held_versions as held
 from qanat.sources.tables import table
 
 TERMS = ["سجل", "المجلس"]
@@ -33,21 +34,41 @@ def _vector(spark: SparkSession, sf_dir: str) -> list[float]:
     return list(row["v"] or ()) if row else []
 
 
+def _current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.current_articles(*_tables(spark, sf_dir, *CONTENT))
+
+
 def dense_search(spark, d):
-    return R.dense_pool(_chunks(spark, d), _vector(spark, d), R.TOP)
+    return R.dense_pool(table(spark, d, "article_chunks"), _vector(spark, d), R.TOP, _current(spark, d))
 
 
 def sparse_search(spark, d):
-    return R.sparse_pool(_chunks(spark, d), R.article_words(table(spark, d, "articles")), TERMS)
+    return R.sparse_pool(table(spark, d, "article_chunks"), R.term_hits(table(spark, d, "articles"), TERMS), current=_current(spark, d))
 
 
 def fused_pools(spark, d):
-    chunks = _chunks(spark, d)
-    return R.fuse(R.dense_pool(chunks, _vector(spark, d)), R.sparse_pool(chunks, R.article_words(table(spark, d, "articles")), TERMS))
+    chunks, current = table(spark, d, "article_chunks"), _current(spark, d)
+    return R.fuse(R.dense_pool(chunks, _vector(spark, d), current=current), R.sparse_pool(chunks, R.term_hits(table(spark, d, "articles"), TERMS), current=current))
 
 
 def hybrid_search(spark, d):
-    return R.hybrid_search(_chunks(spark, d), R.article_words(table(spark, d, "articles")), _vector(spark, d), TERMS)
+    return R.hybrid_search(table(spark, d, "article_chunks"), _current(spark, d), R.term_hits(table(spark, d, "articles"), TERMS), _vector(spark, d))
+
+
+def decorated_search(spark, d):
+    """The hybrid search's results as a reader sees them."""
+    shown = R.decorated(hybrid_search(spark, d), table(spark, d, "article_chunks"), _current(spark, d), table(spark, d, "sources"))
+    return shown.select("id", "article_number", "source_code", F.md5("chunk_text").alias("text_md5"), "score")
+
+
+def audited_search(spark, d):
+    """The audit row that the hybrid search leaves behind."""
+    row = R.search_audit(hybrid_search(spark, d), "00000000-0000-0000-0000-000000000001", " ".join(TERMS), "stored vectors and terms", 5)
+    return row.select("tenant_id", "query_hash", "response_hash", F.array_join("retrieved_chunk_ids", ",").alias("ids"), "latency_ms")
+
+
+def response_hashes(spark, d):
+    return N.hashed_responses(table(spark, d, "query_audit_log"))
 
 
 def dense_search_batch(spark, d):
@@ -75,16 +96,22 @@ def chunk_statistics(spark, d):
 
 def normalized_texts(spark, d):
     own = T.normalize_arabic(F.col("text_ar"))
-    stored = F.coalesce("text_ar_normalized", F.lit(""))
-    return table(spark, d, "articles").where("text_ar != ''").dropDuplicates(["id"]).select(F.col("id").alias("article_id"), F.md5(own).alias("normalized_md5"), (own != stored).alias("stale"))
+    rows = table(spark, d, "articles").where("text_ar != ''").select(F.col("id").alias("article_id"), F.md5(own).alias("normalized_md5"), (own != F.coalesce("text_ar_normalized", F.lit(""))).alias("stale"))
+    return rows.groupBy("article_id").agg(F.min(F.struct("normalized_md5", "stale")).alias("n")).select("article_id", "n.*")
 
 
 def extract_citations(spark, d):
-    return C.article_citations(table(spark, d, "articles")).select("article_id", "cited_number", "matched_text")
+    """Citations of the texts with their headings' colons taken away, so that every heading cites."""
+    rows = table(spark, d, "articles").withColumn("text_ar", F.regexp_replace("text_ar", "[:：]", " "))
+    return C.article_citations(rows).select("article_id", "cited_number", "matched_text")
 
 
 def citation_edges(spark, d):
-    return C.citation_edges(table(spark, d, "articles").dropDuplicates(["id"]))
+    """Edges of derived texts: each article cites the one whose number is its own place modulo ten, behind a no-break space."""
+    names = F.array(*map(F.lit, list(T.ORDINAL_UNITS)[2:]))
+    cite = F.concat(F.lit("وفقا للمادة\u00a0"), F.element_at(names, F.col("ordering") % 9 + 1), F.lit(" من النظام"))
+    rows = table(spark, d, "articles").select("id", "document_id", F.regexp_replace("article_number", "^(ar|en)_", "").alias("article_number"), "ordering", cite.alias("text_ar"))
+    return C.citation_edges(rows.distinct())
 
 
 def unchanged_documents(spark, d):
@@ -234,9 +261,11 @@ def content_types(spark, d):
 
 
 def version_pairs(spark, d):
-    """ar_n / en_n rows of one number in a document, by a disjunction of equalities."""
-    articles = table(spark, d, "articles").select("id", "document_id", "article_number").distinct()
-    return articles.where("article_number = 'ar_1' OR article_number = 'en_1'").select("id", "document_id", "article_number")
+    """The ar_n and en_n rows of every number n that a document has."""
+    rows = table(spark, d, "articles").where("article_number LIKE 'ar_%' OR article_number LIKE 'en_%'").select("id", "document_id", "article_number").distinct()
+    numbered = rows.withColumn("n", F.substring("article_number", 4, 1 << 20))
+    a, b = (numbered.where(F.col("article_number") == F.concat(F.lit(p), "n")).select("document_id", "n", F.col("id").alias(f"{p}id")) for p in ("ar_", "en_"))
+    return a.join(b, ["document_id", "n"]).withColumnRenamed("n", "number")
 
 
 def source_lookup(spark, d):
@@ -254,13 +283,18 @@ def event_properties(spark, d):
 
 
 def split_articles(spark, d):
-    rows = table(spark, d, "articles").where("text_ar != ''").dropDuplicates(["id"])
-    return rows.select("id", F.posexplode(T.split_articles(F.col("text_ar"))).alias("at", "piece")).select("id", "at", F.col("piece.number").alias("number"), F.md5("piece.body").alias("body_md5"))
+    rows = table(spark, d, "articles").where("text_ar != ''")
+    pieces = rows.select("id", F.posexplode(T.split_articles(F.col("text_ar"))).alias("at", "piece")).select("id", "at", F.col("piece.number").alias("number"), F.md5("piece.body").alias("body_md5"))
+    return pieces.distinct()
 
 
 def corruption_scan(spark, d):
-    seen = table(spark, d, "articles").dropDuplicates(["id"]).select("id", T.corruption(F.col("text_ar")).alias("c")).select("id", "c.*")
-    return seen.where("repeated_letters + glued_latin + controls > 0")
+    """The damage of damaged texts: every "ية " is drawn out, every " من" runs into a Latin letter, and a bell stands behind each full stop."""
+    damaged = F.col("text_ar")
+    for a, b in (("ية ", "يةةةة "), (" من", " xمن"), (".", ".\x07")):
+        damaged = F.replace(damaged, F.lit(a), F.lit(b))
+    seen = table(spark, d, "articles").select("id", damaged.alias("t")).select("id", T.corruption(F.col("t")).alias("c"), F.size(T.snippets(F.col("t"), T.REPEATED)).alias("samples")).select("id", "c.*", "samples")
+    return seen.where("repeated_letters + glued_latin + controls > 0").distinct()
 
 
 def term_frequencies(spark, d):
@@ -276,12 +310,12 @@ def script_routing(spark, d):
 
 def stub_embeddings(spark, d):
     rows = table(spark, d, "articles").select("id", "ordering").distinct()
-    total = F.aggregate(stub_embedding(F.col("ordering"), 64), F.lit(0.0), lambda s, x: s + x)
-    return rows.select("id", F.round(total, 6).alias("total"))
+    total = F.aggregate(stub_embedding(F.col("ordering")), F.lit(0.0), lambda s, x: s + x)
+    return rows.select("ordering").distinct().select("ordering", F.round(total, 6).alias("total")).join(rows, "ordering").select("id", "total")
 
 
 def fuzzy_parts(spark, d):
-    return C.fuzzy_lookup(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", "part 42")
+    return C.fuzzy_lookup(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", "small ring")
 
 
 def failing_questions(spark, d):
@@ -293,11 +327,69 @@ def spread_articles(spark, d):
     return C.spread_sample(rows, "document_id", ["ordering", "id"], 3).select("document_id", "id")
 
 
+def leading_articles(spark, d):
+    return C.leading_articles(*_tables(spark, d, *CONTENT), 3).select("source_id", "id")
+
+
+def first_picks(spark, d):
+    rows = table(spark, d, "articles").select("id", "document_id", "ordering").distinct()
+    return C.first_picks(rows, "document_id", ["ordering", "id"], 3).select("document_id", "id")
+
+
+def first_with_content(spark, d):
+    return C.first_with_content(table(spark, d, "articles")).select("document_id", "article_id", F.md5("question").alias("question_md5"))
+
+
+def questions_by_version(spark, d):
+    return table(spark, d, "eval_questions").where("version = 'v1'").select("id", "domain").distinct().orderBy("domain", "id")
+
+
+def unseeded_questions(spark, d):
+    """Questions whose version and domain the first version's do not have."""
+    rows = table(spark, d, "eval_questions").select("id", "version", "domain").distinct()
+    return S.unseeded(rows, rows.where("version = 'v1'").select(F.lit("v2").alias("version"), "domain"))
+
+
+def cascade_kept(spark, d):
+    """What stays of each table when the sources of a prefix are removed."""
+    kept = C.cascade(*_tables(spark, d, "sources", "law_documents", "articles", "article_chunks"), "wage_")
+    parts = [rows.select(F.lit(name).alias("table_name"), "id") for name, rows in kept.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).distinct()
+
+
+def held_versions(spark, d):
+    """Every version's file against all versions of its source."""
+    documents = table(spark, d, "law_documents").select(F.col("source_id").alias("source_name"), F.col("id").alias("document_id"), "version", "source_hash")
+    files = documents.select("source_name", F.col("source_hash").alias("content_hash")).where("content_hash IS NOT NULL").distinct()
+    return held(files, documents).where("same").groupBy("document_id").agg(F.count("*").alias("files"))
+
+
+def first_of_versions(spark, d):
+    """All versions of each source, oldest first, with the first article of each and whether nothing supersedes it."""
+    articles, documents = _tables(spark, d, "articles", "law_documents")
+    first = articles.where("document_id IS NOT NULL").groupBy("document_id").agg(F.min_by("id", F.struct("ordering", "id")).alias("first_article_id"))
+    chain = V.version_chain(documents).select("document_id", "source_id", "version_order")
+    flags = documents.select(F.col("id").alias("document_id"), F.col("superseded_by").isNull().alias("is_latest"))
+    return chain.join(flags, "document_id").join(first, "document_id", "left")
+
+
+def new_questions(spark, d):
+    """Questions as the append-only table takes them: missing arrays are empty."""
+    rows = table(spark, d, "eval_questions").drop("id", "created_at").distinct()
+    return S.new_rows(rows, "eval_questions").groupBy("domain").agg(F.countDistinct("id").alias("n"), F.sum(F.size("expected_citations")).alias("citations"))
+
+
+def manifest_times(spark, d):
+    """The day each version was fetched, from ISO text."""
+    return table(spark, d, "law_documents").where("metadata.fetched_at IS NOT NULL").select("id", F.to_date(T.iso_time(F.col("metadata.fetched_at"))).alias("fetched_on"))
+
+
 _NAMES = (
     "dense_search sparse_search fused_pools hybrid_search dense_search_batch best_chunk_per_article four_way_join chunk_articles chunk_statistics normalized_texts extract_citations citation_edges unchanged_documents"
     " version_chain latest_documents article_diff diff_summary watch_fanout tenant_usage tenant_rows audit_hashes eval_question_scores eval_by_domain eval_overall seed_questions stale_citations uncited_articles"
     " validate_documents corpus_health unpaired_numbers cascade_counts source_upsert corpus_counts articles_per_document expected_articles content_types version_pairs source_lookup json_first event_properties"
     " split_articles corruption_scan term_frequencies script_routing stub_embeddings fuzzy_parts failing_questions spread_articles fresh_questions replaced_articles latest_queries cloned_sources"
+    " decorated_search audited_search response_hashes leading_articles first_picks first_with_content questions_by_version unseeded_questions cascade_kept held_versions first_of_versions new_questions manifest_times"
 ).split()
 QUERIES = {name: globals()[name] for name in _NAMES}
 
@@ -326,12 +418,15 @@ _CHUNKED = f"""WITH {_A}, w AS (SELECT id, {_TEXT} AS t, {_words(_TEXT)} AS w FR
 n AS (SELECT *, len(w) AS n, CASE WHEN len(w) = 0 THEN 0 WHEN len(w) <= 512 THEN 1 ELSE ceil((len(w) - 50) / 462) END AS m FROM w),
 x AS (SELECT id AS article_id, i + 1 AS chunk_index, w[CAST(i * 462 + 1 AS BIGINT):CAST(i * 462 + 512 AS BIGINT)] AS part, coalesce(regexp_matches(t, '[\\x{{600}}-\\x{{6FF}}]'), false) AS arabic FROM n, unnest(range(0, CAST(m AS BIGINT))) AS u(i)),
 k AS (SELECT article_id, CAST(chunk_index AS INTEGER) AS chunk_index, CAST(len(part) AS INTEGER) AS token_count, array_to_string(part, ' ') AS chunk_text, arabic FROM x)"""
-_UNIT = "|".join(T.ORDINAL_UNITS)
+# Fixed values of the SQL, written out on their own so that a wrong one in the functions shows.
+_UNITS = {"الأولى": 1, "الاولى": 1, "الحادية": 1, "الثانية": 2, "الثالثة": 3, "الرابعة": 4, "الخامسة": 5, "السادسة": 6, "السابعة": 7, "الثامنة": 8, "التاسعة": 9, "العاشرة": 10}
+_TENS = {"العشرون": 20, "الثلاثون": 30, "الأربعون": 40, "الخمسون": 50, "الستون": 60, "السبعون": 70, "الثمانون": 80, "التسعون": 90}
+_HUNDREDS = {"المائة": 100, "المائتين": 200}
 _case = lambda c, table: f"CASE {c} " + " ".join(f"WHEN '{w}' THEN {n}" for w, n in table.items()) + " ELSE 0 END"
-_RX = T.CITATION
+_RX = f"(?:ال|لل)ماد[ةه]{_WS}+({'|'.join(_UNITS)})(?:{_WS}+(عشرة))?(?:{_WS}+و({'|'.join(_TENS)}))?(?:{_WS}+بعد{_WS}+({'|'.join(_HUNDREDS)}))?({_WS}{{0,2}}[:：])?"
 _grp = lambda i: f"regexp_extract(m, '{_RX}', {i})"
-_CITES = f"""{_A}, m AS (SELECT id, document_id, unnest(regexp_extract_all(text_ar, '{_RX}')) AS m FROM a),
-cites AS (SELECT id AS article_id, document_id, m AS matched_text, CAST({_case(_grp(1), T.ORDINAL_UNITS)} + CASE WHEN {_grp(2)} <> '' AND {_grp(3)} = '' THEN 10 ELSE 0 END + {_case(_grp(3), T.ORDINAL_TENS)} + {_case(_grp(4), T.HUNDREDS)} AS INTEGER) AS cited_number
+_CITES = f"""m AS (SELECT id, document_id, unnest(regexp_extract_all(text_ar, '{_RX}')) AS m FROM a),
+cites AS (SELECT id AS article_id, document_id, m AS matched_text, CAST({_case(_grp(1), _UNITS)} + CASE WHEN {_grp(2)} <> '' AND {_grp(3)} = '' THEN 10 ELSE 0 END + {_case(_grp(3), _TENS)} + {_case(_grp(4), _HUNDREDS)} AS INTEGER) AS cited_number
   FROM m WHERE NOT regexp_matches(m, '[:：]$'))"""
 _CHAIN = "ch AS (SELECT id AS document_id, source_id, row_number() OVER w AS version_order, lead(id) OVER w AS successor FROM law_documents WINDOW w AS (PARTITION BY source_id ORDER BY created_at, id))"
 _DIFF = f"""WITH {_CHAIN}, st AS (SELECT document_id, article_number, arg_max(coalesce({_TEXT}, ''), (ordering, id)) AS t FROM articles GROUP BY 1, 2),
@@ -351,7 +446,8 @@ _CITED = "cited AS (SELECT DISTINCT unnest(expected_citations) AS id FROM eval_q
 _spread = lambda rows, group, order: f"""p AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY {order}) - 1 AS pos, count(*) OVER (PARTITION BY {group}) AS n FROM {rows}),
 sp AS (SELECT *, greatest(1, n // 4) AS step FROM p), picked AS (SELECT * FROM sp WHERE pos IN (least(step, n - 1), least(2 * step, n - 1), least(3 * step, n - 1)))"""
 
-_HEADER = "الماد[ةه]\\s*\\(\\s*(\\d+)\\s*\\)"
+_HEADER = f"الماد[ةه]{_WS}*\\({_WS}*(\\d+){_WS}*\\)"
+_RUNS = "|".join(f"\\x{{{c:X}}}{{3,}}" for c in range(0x600, 0x700))
 _LOG = "g AS (SELECT DISTINCT ON (id) * FROM query_audit_log)"
 
 ORACLES = {
@@ -366,8 +462,8 @@ x AS (SELECT query_id, id, {_dist('v', 'qv')} AS distance FROM q, u) SELECT quer
     "chunk_articles": f"{_CHUNKED} SELECT article_id, chunk_index, token_count, md5(chunk_text) AS text_md5, md5(CASE WHEN arabic THEN {_norm('chunk_text')} ELSE chunk_text END) AS normalized_md5 FROM k",
     "chunk_statistics": f"{_CHUNKED} SELECT chunk_index, count(*) AS chunks, CAST(sum(token_count) AS BIGINT) AS tokens FROM k GROUP BY 1",
     "normalized_texts": f"WITH {_A} SELECT id AS article_id, md5({_norm('text_ar')}) AS normalized_md5, {_norm('text_ar')} <> coalesce(text_ar_normalized, '') AS stale FROM a WHERE text_ar <> ''",
-    "extract_citations": f"WITH {_CITES} SELECT article_id, cited_number, matched_text FROM cites",
-    "citation_edges": f"WITH {_CITES}, t AS (SELECT document_id, article_number, arg_min(id, (ordering, id)) AS to_article_id FROM a WHERE article_number IS NOT NULL GROUP BY 1, 2) SELECT article_id AS from_article_id, to_article_id, matched_text FROM cites JOIN t ON t.document_id = cites.document_id AND t.article_number = CAST(cited_number AS VARCHAR) WHERE article_id <> to_article_id",
+    "extract_citations": f"WITH a AS (SELECT DISTINCT ON (id) id, document_id, regexp_replace(text_ar, '[:：]', ' ', 'g') AS text_ar FROM articles), {_CITES} SELECT article_id, cited_number, matched_text FROM cites",
+    "citation_edges": f"WITH a AS (SELECT DISTINCT ON (id) id, document_id, ordering, regexp_replace(article_number, '^(ar|en)_', '') AS article_number, 'وفقا للمادة' || chr(160) || ['الحادية', 'الثانية', 'الثالثة', 'الرابعة', 'الخامسة', 'السادسة', 'السابعة', 'الثامنة', 'التاسعة', 'العاشرة'][ordering % 9 + 1] || ' من النظام' AS text_ar FROM articles), {_CITES}, t AS (SELECT document_id, article_number, arg_min(id, (ordering, id)) AS to_article_id FROM a WHERE article_number IS NOT NULL GROUP BY 1, 2) SELECT article_id AS from_article_id, to_article_id, matched_text FROM cites JOIN t ON t.document_id = cites.document_id AND t.article_number = CAST(cited_number AS VARCHAR) WHERE article_id <> to_article_id",
     "unchanged_documents": "SELECT document_id, first_document_id FROM (SELECT id AS document_id, first(id) OVER (PARTITION BY source_id, source_hash ORDER BY created_at, id) AS first_document_id FROM law_documents WHERE source_hash IS NOT NULL) WHERE document_id <> first_document_id",
     "version_chain": f"WITH {_CHAIN} SELECT document_id, source_id, CAST(version_order AS INTEGER) AS version_order, 'v' || (version_order + 1) AS next_version, successor FROM ch",
     "latest_documents": "SELECT source_id, arg_max(id, (created_at, id)) AS document_id, arg_max(version, (created_at, id)) AS version FROM law_documents GROUP BY 1",
@@ -392,18 +488,33 @@ x AS (SELECT query_id, id, {_dist('v', 'qv')} AS distance FROM q, u) SELECT quer
     "articles_per_document": f"WITH {_A} SELECT document_id, count(*) AS n FROM a GROUP BY 1",
     "expected_articles": f"WITH {_A}, n AS (SELECT document_id, count(*) AS delivered FROM a GROUP BY 1) SELECT l.id AS document_id, metadata.article_count AS stated, coalesce(delivered, 0) AS delivered, CAST(sum(coalesce(delivered, 0)) OVER (PARTITION BY source_id ORDER BY created_at, l.id) AS BIGINT) AS running FROM law_documents l LEFT JOIN n ON n.document_id = l.id",
     "content_types": "SELECT CASE WHEN coalesce(source_url, 'unknown') LIKE '%.pdf' THEN 'application/pdf' ELSE 'text/html' END AS content_type, count(*) AS n FROM law_documents GROUP BY 1",
-    "version_pairs": "SELECT DISTINCT id, document_id, article_number FROM articles WHERE article_number = 'ar_1' OR article_number = 'en_1'",
+    "version_pairs": "WITH r AS (SELECT DISTINCT id, document_id, article_number, article_number[4:] AS n FROM articles) SELECT a.document_id, a.n AS number, a.id AS ar_id, b.id AS en_id FROM r a JOIN r b ON a.document_id = b.document_id AND a.article_number = 'ar_' || a.n AND b.article_number = 'en_' || a.n",
     "source_lookup": "SELECT id, slug, code FROM sources WHERE slug LIKE 'wage%' AND code != 'WAGE_RULES_2' ORDER BY code",
     "json_first": "SELECT DISTINCT ON (id) id, expected_citations[1] AS first_citation, CAST(len(coalesce(expected_citations, [])) AS INTEGER) AS n FROM eval_questions",
     "event_properties": "SELECT event_type, count(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS total FROM events GROUP BY 1",
     "term_frequencies": f"WITH {_A} SELECT term, count(*) AS articles FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(coalesce(text_ar_normalized, '')), '[\\p{{L}}\\p{{N}}]+'))) AS term FROM a) GROUP BY 1",
     "script_routing": "SELECT lang, coalesce(regexp_matches(text, '[\\x{600}-\\x{6FF}]'), false) OR coalesce(lang = 'ar', false) AS arabic, count(*) AS n FROM documents GROUP BY 1, 2",
-    "stub_embeddings": "SELECT id, round(list_sum(list_transform(range(0, 64), lambda j: sin(ordering * 97 + j) * 0.01)), 6) AS total FROM (SELECT DISTINCT id, ordering FROM articles)",
-    "fuzzy_parts": "WITH g AS (SELECT p_partkey, p_name, list_distinct(list_transform(range(1, length('  ' || p_name || ' ') - 1), lambda i: substr('  ' || lower(p_name) || ' ', i, 3))) AS t, list_distinct(list_transform(range(1, 9), lambda i: substr('  part 42 ', i, 3))) AS q FROM part) SELECT p_partkey, p_name, round(len(list_intersect(t, q)) / len(list_distinct(list_concat(t, q))), 6) AS similarity FROM g WHERE round(len(list_intersect(t, q)) / len(list_distinct(list_concat(t, q))), 6) >= 0.3",
+    "stub_embeddings": "SELECT id, round(list_sum(list_transform(range(0, 1024), lambda j: sin(ordering * 97 + j) * 0.01)), 6) AS total FROM (SELECT DISTINCT id, ordering FROM articles)",
+    "fuzzy_parts": "WITH g AS (SELECT p_partkey, p_name, list_distinct(list_transform(range(1, length('  ' || p_name || ' ') - 1), lambda i: substr('  ' || lower(p_name) || ' ', i, 3))) AS t, list_distinct(list_transform(range(1, 12), lambda i: substr('  small ring ', i, 3))) AS q FROM part) SELECT p_partkey, p_name, round(len(list_intersect(t, q)) / len(list_distinct(list_concat(t, q))), 6) AS similarity FROM g WHERE round(len(list_intersect(t, q)) / len(list_distinct(list_concat(t, q))), 6) >= 0.3",
     "fresh_questions": f"WITH {_A}, {_LATEST}, old AS (SELECT id FROM a WHERE document_id NOT IN (SELECT document_id FROM lt)), q AS (SELECT DISTINCT ON (id) * FROM eval_questions) SELECT id, domain FROM q WHERE expected_citations[1] IS NULL OR expected_citations[1] NOT IN (SELECT id FROM old)",
     "replaced_articles": f"WITH {_A}, {_LATEST} SELECT id, document_id, CASE WHEN document_id IN (SELECT document_id FROM lt) THEN upper(article_number) ELSE article_number END AS article_number FROM a",
     "latest_queries": "SELECT tenant_id, arg_max(id, (created_at, id)) AS id, arg_max(query_hash, (created_at, id)) AS query_hash FROM query_audit_log WHERE tenant_id IS NOT NULL GROUP BY 1",
     "cloned_sources": "SELECT 'clone_' || i || '_' || slug AS slug, type FROM sources, range(0, 3) AS r(i)",
     "failing_questions": f"{_SCORES} SELECT question_id, domain FROM sc WHERE recall = 0",
     "spread_articles": f"WITH r AS (SELECT DISTINCT id, document_id, ordering FROM articles), {_spread('r', 'document_id', 'ordering, id')} SELECT document_id, id FROM picked",
+    "decorated_search": f"{_FUSED}, b AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY score DESC, id) AS n FROM f), z AS (SELECT id, article_id, score FROM b WHERE n = 1 ORDER BY score DESC, id LIMIT {R.TOP}) SELECT z.id, a.article_number, s.code AS source_code, md5(k.chunk_text) AS text_md5, z.score FROM z JOIN article_chunks k ON k.id = z.id JOIN a ON a.id = z.article_id JOIN law_documents l ON l.id = a.document_id JOIN sources s ON s.id = l.source_id",
+    "audited_search": f"{_FUSED}, b AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY score DESC, id) AS n FROM f), z AS (SELECT id, score FROM b WHERE n = 1 ORDER BY score DESC, id LIMIT {R.TOP}), g AS (SELECT list(id ORDER BY score DESC, id) AS ids FROM z) SELECT '00000000-0000-0000-0000-000000000001' AS tenant_id, sha256('{' '.join(TERMS)}') AS query_hash, sha256(CAST(to_json(ids) AS VARCHAR)) AS response_hash, array_to_string(ids, ',') AS ids, 5 AS latency_ms FROM g",
+    "response_hashes": f"WITH {_LOG} SELECT id, sha256(CAST(to_json(coalesce(retrieved_chunk_ids, [])) AS VARCHAR)) AS response_hash FROM g",
+    "leading_articles": "WITH r AS (SELECT DISTINCT a.id, l.source_id, a.ordering FROM articles a JOIN law_documents l ON l.id = a.document_id WHERE superseded_by IS NULL) SELECT source_id, id FROM r QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY ordering, id) <= 3",
+    "first_picks": "WITH r AS (SELECT DISTINCT id, document_id, ordering FROM articles), p AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY ordering, id) - 1 AS pos, count(*) OVER (PARTITION BY document_id) AS n FROM r) SELECT document_id, id FROM p WHERE pos IN (0, greatest(1, n // least(3, n)), 2 * greatest(1, n // least(3, n)))",
+    "first_with_content": f"WITH w AS (SELECT id, document_id, ordering, length(text_ar) AS size, array_to_string({_words('text_ar')}[1:15], ' ') AS q FROM articles WHERE document_id IS NOT NULL) SELECT document_id, arg_min(id, (ordering, id)) AS article_id, md5(arg_min(q, (ordering, id))) AS question_md5 FROM w WHERE size >= 20 AND length(q) > 20 GROUP BY 1",
+    "questions_by_version": "SELECT DISTINCT id, domain FROM eval_questions WHERE version = 'v1'",
+    "unseeded_questions": "SELECT DISTINCT id, version, domain FROM eval_questions q WHERE NOT EXISTS (SELECT 1 FROM eval_questions h WHERE h.version = 'v1' AND q.version = 'v2' AND q.domain = h.domain)",
+    "cascade_kept": "WITH g AS (SELECT id FROM sources WHERE starts_with(slug, 'wage_')), d AS (SELECT id FROM law_documents WHERE source_id IN (SELECT id FROM g)), r AS (SELECT id FROM articles WHERE document_id IN (SELECT id FROM d)) SELECT DISTINCT * FROM (SELECT 'sources' AS table_name, id FROM sources WHERE id NOT IN (SELECT id FROM g) UNION ALL SELECT 'law_documents', id FROM law_documents WHERE id NOT IN (SELECT id FROM d) UNION ALL SELECT 'articles', id FROM articles WHERE id NOT IN (SELECT id FROM r) UNION ALL SELECT 'article_chunks', id FROM article_chunks WHERE article_id IS NULL OR article_id NOT IN (SELECT id FROM r))",
+    "held_versions": "WITH f AS (SELECT DISTINCT source_id, source_hash FROM law_documents WHERE source_hash IS NOT NULL) SELECT l.id AS document_id, count(*) AS files FROM law_documents l JOIN f ON f.source_id = l.source_id AND f.source_hash = l.source_hash GROUP BY 1",
+    "first_of_versions": f"WITH {_CHAIN}, f AS (SELECT document_id, arg_min(id, (ordering, id)) AS first_article_id FROM articles WHERE document_id IS NOT NULL GROUP BY 1) SELECT ch.document_id, ch.source_id, CAST(version_order AS INTEGER) AS version_order, l.superseded_by IS NULL AS is_latest, first_article_id FROM ch JOIN law_documents l ON l.id = ch.document_id LEFT JOIN f ON f.document_id = ch.document_id",
+    "new_questions": "WITH q AS (SELECT DISTINCT version, domain, question_ar, question_en, coalesce(expected_citations, []) AS e, coalesce(accepted_answer_ranges, []), attorney_rubric, graded_by FROM eval_questions) SELECT domain, count(DISTINCT struct_pack(a := version, b := question_ar, c := question_en)) AS n, CAST(sum(len(e)) AS BIGINT) AS citations FROM q GROUP BY 1",
+    "manifest_times": "SELECT id, CAST(CAST(metadata.fetched_at AS TIMESTAMPTZ) AS DATE) AS fetched_on FROM law_documents WHERE metadata.fetched_at IS NOT NULL",
+    "split_articles": f"WITH {_A}, p AS (SELECT id, regexp_matches(text_ar, '{_HEADER}') AS h, text_ar, string_split(regexp_replace(text_ar, '({_HEADER})', chr(1) || '\\1', 'g'), chr(1)) AS p FROM a WHERE text_ar <> ''), n AS (SELECT id, CASE WHEN h THEN list_filter(list_transform(p, lambda x: struct_pack(number := coalesce(TRY_CAST(regexp_extract(x, '^{_HEADER}', 1) AS INTEGER), 0), body := {_squeeze('x')})), lambda s: s.number > 0 OR s.body <> '') ELSE [struct_pack(number := 1, body := {_squeeze('text_ar')})] END AS l FROM p) SELECT id, CAST(i - 1 AS INTEGER) AS at, l[i].number AS number, md5(l[i].body) AS body_md5 FROM n, unnest(range(1, len(l) + 1)) AS u(i)",
+    "corruption_scan": f"WITH {_A}, t AS (SELECT id, replace(replace(replace(text_ar, 'ية ', 'يةةةة '), ' من', ' xمن'), '.', '.' || chr(7)) AS t FROM a), c AS (SELECT id, len(regexp_extract_all(t, '{_RUNS}')) AS repeated_letters, len(list_filter({_words('t')}, lambda w: regexp_matches(w, '^[A-Za-z]+[\\x{{600}}-\\x{{6FF}}]|[\\x{{600}}-\\x{{6FF}}][A-Za-z]+($|[\\x{{600}}-\\x{{6FF}}])'))) AS glued_latin, len(regexp_extract_all(t, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]')) AS controls, least(5, len(regexp_extract_all(t, '(?s).{{0,15}}({_RUNS}).{{0,15}}'))) AS samples FROM t) SELECT id, CAST(repeated_letters AS INTEGER) AS repeated_letters, CAST(glued_latin AS INTEGER) AS glued_latin, CAST(controls AS INTEGER) AS controls, CAST(samples AS INTEGER) AS samples FROM c WHERE repeated_letters + glued_latin + controls > 0",
 }

@@ -28,7 +28,7 @@ def build_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, or a local one where it is unset and the session is local (tests)."""
     sc = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if known:
@@ -36,6 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(known)
         return known
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), "qanat-shared"))
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,9 +31,10 @@ REGISTRY = {
 }
 
 
-def read_manifest(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
-    """The sources of a manifest, all or the one of that name whatever its case; an unknown name gives none."""
+def read_manifest(spark: SparkSession, path: str, source: str | None = None, status: str | None = None) -> DataFrame:
+    """The sources of a manifest, all or the one of that name whatever its case, of any status or the given one; an unknown name gives none."""
     rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", MANIFEST)["sources"]).alias("s")).select("s.*")
+    rows = rows if status is None else rows.where(F.col("status") == status)
     return rows if source is None else rows.where(F.upper("name") == source.upper())
 
 
@@ -55,6 +57,16 @@ def read_article_files(spark: SparkSession, *paths: str) -> DataFrame:
     return rows.select("source_name", canonical_hash("value").alias("content_hash"), F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", ARTICLE)).alias("articles"))
 
 
+def held_versions(files: DataFrame, documents: DataFrame) -> DataFrame:
+    """Every stored version of each file's source with whether the file is that version: source_name, document_id, version, same.
+
+    files: source_name, content_hash; documents: source_name, document_id, version, source_hash. A file whose source has no version gives one row
+    without a document.
+    """
+    both = files.select("source_name", "content_hash").join(documents, "source_name", "left")
+    return both.select("source_name", "document_id", "version", F.coalesce(F.col("source_hash") == F.col("content_hash"), F.lit(False)).alias("same"))
+
+
 def page_lines(items: DataFrame) -> DataFrame:
     """page, line, text of positioned items (page, item_no, str, y, has_eol): a line ends at an item with has_eol, or where the rounded y is
     over 2 away from that of the line's first item. Pages are independent and bounded; items without text keep their place."""
@@ -62,7 +74,7 @@ def page_lines(items: DataFrame) -> DataFrame:
     def lines(page: pd.DataFrame) -> pd.DataFrame:
         out, held, anchor = [], [], None
         for item in page.sort_values("item_no").itertuples():
-            y = round(item.y)
+            y = math.floor(item.y + 0.5)
             if anchor is not None and abs(y - anchor) > 2:
                 out.append("".join(held))
                 held, anchor = [], None

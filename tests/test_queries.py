@@ -2,8 +2,6 @@
 
 import datetime
 import glob
-import importlib
-import importlib.util
 import os
 
 import duckdb
@@ -29,7 +27,7 @@ def duck():
     return con
 
 
-CORE = [n for n in entry.queries() if not (importlib.util.find_spec("qanat.llm") and n in importlib.import_module(entry.LLM).QUERIES)]
+CORE = [name for module in entry.MODULES for name in module.QUERIES]
 
 
 @pytest.mark.skipif(not os.path.exists(DATA), reason="no tables")

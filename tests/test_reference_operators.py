@@ -157,3 +157,37 @@ def test_sinks(spark, tmp_path):
     assert spark.range(1).select(files.parse_vector(F.lit("[1,2.5]")).alias("v")).first()["v"] == [1.0, 2.5]
     (tmp_path / "x.pdf").write_bytes(b"%PDF")
     assert files.read_binary(spark, str(tmp_path)).count() == 1
+
+
+def test_half_heights_round_up(spark):
+    items = spark.createDataFrame([(1, 1, "a", 2.5, False), (1, 2, "b", 0.5, False), (1, 3, "c", 5.5, False)], "page int, item_no int, str string, y double, has_eol boolean")
+    assert [r["text"] for r in files.page_lines(items).orderBy("line").collect()] == ["ab", "c"]
+
+
+def test_appends_and_guards(spark, tmp_path):
+    rows = spark.createDataFrame([("v1", "tax", "q", None)], "version string, domain string, question_ar string, expected_citations array<string>")
+    sinks.append_rows(rows, "eval_questions", str(tmp_path))
+    held = spark.read.parquet(f"{tmp_path}/eval_questions")
+    row = held.first()
+    assert row["expected_citations"] == [] and row["question_en"] is None and len(row["id"]) == 36
+    assert sinks.unseeded(rows, held).count() == 0
+    one = sinks.get_or_create(spark, f"{tmp_path}/tenants", "dev")
+    assert one == sinks.get_or_create(spark, f"{tmp_path}/tenants", "dev") and spark.read.parquet(f"{tmp_path}/tenants").count() == 1
+    assert sinks.throughput(10, 2.0) == 5.0 and sinks.throughput(1, 0.0) == 0.0
+
+
+def test_cascade_keeps_what_is_not_below(spark):
+    make = lambda rows, schema: spark.createDataFrame(rows, schema)
+    kept = corpus.cascade(make([("s", "load_1"), ("t", "x"), ("u", None)], "id string, slug string"), make([("d", "s"), ("e", "t")], "id string, source_id string"), make([("a", "d"), ("b", "e"), ("c", None)], "id string, document_id string"), make([("k", "a"), ("l", "b"), ("m", None)], "id string, article_id string"), "load_")
+    assert {n: sorted(r["id"] for r in rows.collect()) for n, rows in kept.items()} == {"sources": ["t", "u"], "law_documents": ["e"], "articles": ["b", "c"], "article_chunks": ["l", "m"]}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from qanat.session import shared_dir
+
+    empty = SimpleNamespace(isEmpty=lambda: True)
+    context = SimpleNamespace(master="spark://host", getConf=lambda: {}, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: empty)))
+    with pytest.raises(ValueError):
+        shared_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))

@@ -67,3 +67,14 @@ def test_split_and_corruption(spark):
     assert [p["number"] for p in one(spark, "بلا عنوان", T.split_articles)] == [1]
     found = one(spark, "كلممممة abcة \x01", T.corruption)
     assert (found["repeated_letters"], found["glued_latin"], found["controls"]) == (1, 1, 1)
+
+
+def test_citations_behind_any_blank(spark):
+    assert [c["article_number"] for c in one(spark, "وفقا للمادة الرابعة عشرة من النظام", T.citations)] == [14]
+    assert one(spark, "المادة الثالثة : نص", T.citations) == []
+
+
+def test_snippets(spark):
+    text = "a" * 40 + "كلممممة" + "b" * 40
+    assert one(spark, text, lambda c: T.snippets(c, T.REPEATED)) == ["a" * 13 + "كلممممة" + "b" * 14]
+    assert one(spark, None, lambda c: T.snippets(c, T.REPEATED)) == []
