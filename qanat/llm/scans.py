@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from qanat.functions.visual import visual_key
 from qanat.session import cut_lineage
 
-KNOWN, RATIO, SUPPORT, SHARD, PAIRS, HEADING_BUCKETS = 5, 30, 3, 100_000, 1 << 20, 1 << 16
+KNOWN, RATIO, SUPPORT, SHARD, PAIRS, HEADING_BUCKETS = 5, 30, 3, 100_000, 1 << 22, 1 << 18
 BROKEN_WORD, RUNNING_HEADER, PAGE_NUMBER, WRONG_CHAR = "broken_word", "running_header", "page_number", "wrong_char"
 
 # Marks that cut a word at a line end.
@@ -61,7 +61,7 @@ def line_key(line: str) -> str:
 def is_page_line(line: str) -> bool:
     """Whether the line holds a page's number alone, bare or in brackets or dashes; a list number ("3." or "3)") does not."""
     line = line.strip()
-    return 0 < len(line) < 40 and _PAGE_LINE.match(line) is not None and not _LIST_NUMBER.match(line)
+    return line != "" and _PAGE_LINE.match(line) is not None and not _LIST_NUMBER.match(line)
 
 
 def may_head(line: str) -> bool:
@@ -228,7 +228,7 @@ def corrections(word: str, n: int, trie: Trie) -> list[tuple[str, int, str]]:
         near = trie.within(word, min(2, len(odd)))
         keep = [i for i in range(len(word)) if i not in odd]
         return [(c, m, "odd") for c, m in near if len(c) == len(word) and all(c[i] == word[i] for i in keep) and m > n]
-    if len(word) < 4 or not word.replace("'", "").isalpha():
+    if len(word) < 3 or not word.replace("'", "").isalpha():
         return []
     out = []
     for c, m in trie.within(word, 1):
@@ -355,9 +355,11 @@ def misread_words(words: DataFrame) -> DataFrame:
     return sure.groupBy("word").agg(F.filter(F.array_sort(F.collect_set(F.struct((-F.col("m")).alias("negative"), F.col("choice").alias("word")))), lambda c: c["word"].isNotNull()).alias("choices"))
 
 
-def _hyphenated(words: DataFrame) -> frozenset[str]:
-    """Words that are spelled with a hyphen inside lines: the SHARD most frequent; a rarer compound that is cut at its hyphen counts as broken."""
-    found = words.where((F.col("n") >= KNOWN) & F.col("word").rlike(r"^\p{L}+-\p{L}+$")).orderBy(F.desc("n"), "word").limit(SHARD)
+def _hyphenated(texts: DataFrame, words: DataFrame) -> frozenset[str]:
+    """Words that are spelled with a hyphen inside lines, KNOWN times or more, and that some text cuts at a line end: only those are asked for."""
+    cut = rf"(\p{{L}}+)[{re.escape(CUT_MARKS)}][ \t]*\n[ \t]*(\p{{L}}+)"
+    cuts = texts.select(F.explode(F.regexp_extract_all("text", F.lit(cut), F.lit(0))).alias("c")).select(F.lower(F.regexp_replace("c", cut, "$1-$2")).alias("word")).distinct()
+    found = words.where((F.col("n") >= KNOWN) & F.col("word").rlike(r"^\p{L}+-\p{L}+$")).join(cuts, "word", "left_semi")
     return frozenset(r["word"] for r in found.select("word").collect())
 
 
@@ -365,7 +367,7 @@ def examined(texts: DataFrame, words: DataFrame, misread: DataFrame) -> DataFram
     """hash, kinds (of furniture and broken words), suspects (all its words but frequent ones that are not misread) of each text."""
     spark = texts.sparkSession
     common = words.where(F.col("n") >= 1000).join(misread, "word", "left_anti").orderBy(F.desc("n"), "word").limit(SHARD)
-    shared = spark.sparkContext.broadcast((heading_table(texts), _hyphenated(words), frozenset(r["word"] for r in common.select("word").collect() if not odd_places(r["word"]))))
+    shared = spark.sparkContext.broadcast((heading_table(texts), _hyphenated(texts, words), frozenset(r["word"] for r in common.select("word").collect() if not odd_places(r["word"]))))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         headings, hyphenated, common = shared.value
@@ -423,7 +425,7 @@ def repaired(misa: DataFrame, articles: DataFrame, documents: DataFrame) -> Data
     misread = misread_words(words)
     seen = examined(texts, words, misread)
     fixes = seen.select("hash", F.explode("suspects").alias("word")).join(misread.where(F.size("choices") > 0), "word").groupBy("hash").agg(F.collect_list(F.struct("word", F.col("choices.word").alias("choices"))).alias("fixes"))
-    shared = spark.sparkContext.broadcast((heading_table(texts), _hyphenated(words), word_pairs(texts)))
+    shared = spark.sparkContext.broadcast((heading_table(texts), _hyphenated(texts, words), word_pairs(texts)))
 
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         headings, hyphenated, pairs = shared.value

@@ -232,3 +232,12 @@ def test_texts_without_blanks_take_time_in_proportion():
     began = time.perf_counter()
     assert len(units("文" * 40 + "。", None)) == 1 and len(units(("文" * 40 + "。") * 20_000)) == 20_000
     assert time.perf_counter() - began < 20
+
+
+def test_short_words_and_rare_compounds(spark):
+    assert S.corrections("cot", 1, S.Trie({"cat": 100})) == [("cat", 100, "o>a")]
+    words = [f"self{chr(97 + i // 26)}{chr(97 + i % 26)}-made" for i in range(40)]
+    misa = [(i, " ".join([words[i % 40]] * 6) + " by hand.", None) for i in range(40)] + [(99, "this is selfab-\nmade by hand.", None), (98, "this is sel-\nfab by hand.", None)]
+    got = {tuple(r) for r in S.scan_noise(*records(spark, misa, [], [])).collect()}
+    assert got == {("misa", "98", "broken_word")}
+    assert S.is_page_line("-" * 30 + " 12 " + "-" * 30)
