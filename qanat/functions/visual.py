@@ -15,6 +15,10 @@ LINE_ENDS = "\n\x0b\x0c\r\x85\u2028\u2029"
 # Letters that look like the Latin letter in the same position of the second string.
 GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳονιρυκ", "ABEZHIKMNOPTYXCjovipuk")
 CYRILLIC = ("АВЕЅІЈКМНОРСТУХԌԚԜаеѕіјорсухһԁԛԝѵ", "ABESIJKMHOPCTYXGQWaesijopcyxhdqwv")
+ARMENIAN = ("օՕսՍհոզԼցՏյ", "oOuUhnqLgSj")
+CHEROKEE = ("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᎽᏀᏃᏙᏚᏞᏟᏢᏦᏴ", "DRTAJEWMHYGZVSLCPKB")
+LISU = ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU")
+COPTIC = ("ⲀⲂⲈⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥ", "ABEHIKMNOPCTYXopc")
 # Arabic-script letters of other languages that take the shape of a basic letter where they are joined on (yeh, keheh, heh goal,
 # heh doachashmee), and where they are not (yeh, heh goal, ae, teh marbuta is none of them).
 JOINED = ("یکہھ", "يكهه")
@@ -42,12 +46,15 @@ def presentation_forms() -> dict[str, str]:
             plain = unicodedata.normalize("NFKC", chr(c))
             if plain != chr(c):
                 out[chr(c)] = plain.lstrip() or plain
+    for c in (*range(0x2100, 0x2189), *range(0x1D400, 0x1D800)):  # letters and digits of another face, and Roman numerals
+        if unicodedata.decomposition(chr(c)).startswith("<font>") or 0x2160 <= c < 0x2180:
+            out[chr(c)] = unicodedata.normalize("NFKC", chr(c))
     return out
 
 
 INVISIBLE = invisible_characters()
 FORMS = presentation_forms() | {c: "\n" if c in LINE_ENDS else " " for c in BLANKS} | dict.fromkeys(INVISIBLE, "")
-LOOKS = {a: b for pair in (GREEK, CYRILLIC) for a, b in zip(*pair)}
+LOOKS = {a: b for pair in (GREEK, CYRILLIC, ARMENIAN, CHEROKEE, LISU, COPTIC) for a, b in zip(*pair)}
 _HOLD = re.compile(f"(?<=[{_JOINING}])([{_MARKS}]*){ZWNJ}(?=[{_ARABIC}])")
 _SOFT = re.compile(f"{SOFT_HYPHEN}(?=[{LINE_ENDS}])")
 _NEXT = f"[{_MARKS}]*[{_ARABIC}]"
