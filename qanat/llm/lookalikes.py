@@ -20,20 +20,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qanat.functions.visual import CYRILLIC, GREEK, is_plain, unfold
+from qanat.functions.visual import ARMENIAN, CHEROKEE, COPTIC, CYRILLIC, GREEK, LISU, is_plain, unfold
 from qanat.session import cut_lineage
 
-EUROPEAN = ("LATIN", "GREEK", "CYRILLIC")
+DOUBLES = {"GREEK": GREEK, "CYRILLIC": CYRILLIC, "ARMENIAN": ARMENIAN, "CHEROKEE": CHEROKEE, "LISU": LISU, "COPTIC": COPTIC}
+SCRIPTS = ("LATIN", *DOUBLES)
 # Arabic-script letters that only one group of orthographies has, whatever their neighbours. The second group is Persian, the third Urdu.
 ONLY_ARABIC, ONLY_PERSIAN, ONLY_URDU = "ةأإ", "پچژگ", "ٹڈڑںے"
 
 _CLASSES: dict[str, dict[str, str]] = {}
-for _script, (_letters, _latin) in (("GREEK", GREEK), ("CYRILLIC", CYRILLIC)):
+for _script, (_letters, _latin) in DOUBLES.items():
     for _own, _to in zip(_letters, _latin):
         _CLASSES.setdefault(_to, {"LATIN": _to})[_script] = _own
 _CLASS_OF = {letter: latin for latin, members in _CLASSES.items() for letter in members.values()}
-_RUN = re.compile("[A-Za-zªºÀ-ÖØ-öø-ʯͰ-ϿЀ-ԯḀ-ỿἀ-῿]+(?:[̀-ͯ]*[A-Za-zªºÀ-ÖØ-öø-ʯͰ-ϿЀ-ԯḀ-ỿἀ-῿])*")
-_FOREIGN = re.compile("[Ͱ-ϿЀ-ԯἀ-῿]")
+_OTHERS = "Ͱ-ϿЀ-ԯԱ-ևᎠ-ᏽἀ-῿Ⲁ-⳿ꓐ-ꓽ"
+_LETTER = f"[A-Za-zªºÀ-ÖØ-öø-ʯḀ-ỿ{_OTHERS}]"
+_RUN = re.compile(f"{_LETTER}+(?:[̀-ͯ]*{_LETTER})*")
+_FOREIGN = re.compile(f"[{_OTHERS}]")
 _ARABIC = "ؠ-يٮٯٱ-ۓۺ-ۿ"
 _NEXT = f"(?=[ؐ-ًؚ-ٰٟۖ-ۜ۟-ۤۧۨ-ۭ]*[{_ARABIC}])"
 _LAST = _NEXT.replace("(?=", "(?!")
@@ -52,10 +55,10 @@ _DOUBLES = frozenset("یکہھە")
 
 @lru_cache(maxsize=4096)
 def script_set(letter: str) -> frozenset[str]:
-    """The European scripts in which the letter's shape occurs; empty for letters of other scripts."""
+    """The scripts (of SCRIPTS) in which the letter's shape occurs; empty for letters of others."""
     if (known := _CLASS_OF.get(letter)) is not None:
         return frozenset(_CLASSES[known])
-    return frozenset(s for s in EUROPEAN if unicodedata.name(letter, "").startswith(s))
+    return frozenset(s for s in SCRIPTS if unicodedata.name(letter, "").startswith(s))
 
 
 def resolved(run: str) -> frozenset[str]:
@@ -68,12 +71,12 @@ def _spell(run: str, script: str) -> str:
     return "".join(_CLASSES[_CLASS_OF[c]].get(script, c) if c in _CLASS_OF else c for c in run)
 
 
-def _european(text: str) -> str:
+def _resolved_runs(text: str) -> str:
     runs = [(m.span(), resolved(m.group())) for m in _RUN.finditer(text)]
     evidence = Counter(next(iter(scripts)) for _, scripts in runs if len(scripts) == 1)
     out, at = [], 0
     for (start, end), scripts in runs:
-        choice = max(scripts or EUROPEAN[:1], key=lambda s: (evidence[s], -EUROPEAN.index(s)))
+        choice = max(scripts or SCRIPTS[:1], key=lambda s: (evidence[s], -SCRIPTS.index(s)))
         out += [text[at:start], _spell(text[start:end], choice)]
         at = end
     return "".join([*out, text[at:]])
@@ -93,7 +96,7 @@ def consistent_form(text: str) -> str:
         return text
     text = unfold(text)
     if _FOREIGN.search(text):
-        text = _european(text)
+        text = _resolved_runs(text)
     if not _DOUBLES.isdisjoint(text):
         of = _orthography(text)
         for pattern, *letters in _SHAPES:
@@ -119,16 +122,28 @@ def consistent_texts(texts: DataFrame, with_text: bool = True) -> DataFrame:
     return texts.select(*kept, "text").mapInArrow(lambda batches: _forms(with_text, batches), f"{fields}, form string")
 
 
+def _members(articles: DataFrame) -> DataFrame:
+    """document_id, form, raw, id of articles whose document holds more than one spelling of what they look like; each id and spelling once."""
+    usable = F.col("id").isNotNull() & F.col("document_id").isNotNull() & (F.col("text_ar") != "")
+    texts = articles.where(usable).select("id", "document_id", F.unhex(F.md5(F.encode("text_ar", "UTF-8"))).alias("raw"), F.col("text_ar").alias("text"))
+    looks = cut_lineage(consistent_texts(texts, with_text=False).withColumn("form", F.unhex("form")))
+    kinds = looks.groupBy("document_id", "form", "raw").agg(F.lit(1).alias("one")).groupBy("document_id", "form").agg(F.count("*").alias("spellings")).where("spellings > 1")
+    return cut_lineage(looks.join(kinds, ["document_id", "form"], "left_semi").groupBy("id", "document_id").agg(F.min(F.struct("form", "raw")).alias("k")).select("id", "document_id", "k.form", "k.raw"))
+
+
 def lookalike_pairs(articles: DataFrame) -> DataFrame:
     """Pairs of articles of one document whose text_ar differ but look the same: article_id_a < article_id_b.
 
     Rows with a null id, document or text and empty texts take no part; rows of one id count once. Equal texts are no pairs and are folded
-    together before look-alikes are compared, so many copies of one text cost one row. The pairs themselves are all given.
+    together before look-alikes are compared, so many copies of one text cost one row. The pairs themselves are all given; lookalike_classes gives
+    the same in a row for each article.
     """
-    usable = F.col("id").isNotNull() & F.col("document_id").isNotNull() & (F.col("text_ar") != "")
-    texts = articles.where(usable).select("id", "document_id", F.unhex(F.md5(F.encode("text_ar", "UTF-8"))).alias("raw"), F.col("text_ar").alias("text"))
-    looks = cut_lineage(consistent_texts(texts, with_text=False).withColumn("form", F.unhex("form")))
-    kinds = looks.groupBy("document_id", "form", "raw").agg(F.lit(1).alias("one")).groupBy("document_id", "form").agg(F.count("*").alias("spellings")).where("spellings > 1")
-    members = cut_lineage(looks.join(kinds, ["document_id", "form"], "left_semi").dropDuplicates(["id"]))
+    members = _members(articles)
     a, b = (members.select("document_id", "form", F.col("raw").alias(f"raw_{s}"), F.col("id").alias(f"article_id_{s}")) for s in "ab")
     return a.join(b, ["document_id", "form"]).where("article_id_a < article_id_b AND raw_a != raw_b").select("article_id_a", "article_id_b")
+
+
+def lookalike_classes(articles: DataFrame) -> DataFrame:
+    """article_id, document_id, class_id, spelling_id of every article that looks like another text of its document: two rows of one class with
+    different spellings are a pair. As many rows as articles, however large the classes are."""
+    return _members(articles).select(F.col("id").alias("article_id"), "document_id", F.lower(F.hex("form")).alias("class_id"), F.lower(F.hex("raw")).alias("spelling_id"))

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import base64
 import math
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def tokenizer(path: str):
     """The byte-level tokenizer whose ranks the file holds, once a worker."""
     import tiktoken
 
-    with open(path, "rb") as f:
+    with open(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)), "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
     return tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
@@ -96,6 +98,8 @@ def pack(items: DataFrame, id_column: str, text_column: str, capacity: int = CAP
     An item is one part (part_index 0) unless it is larger than a container; then it is cut into full parts and a rest. Null and empty texts are
     items of 0 tokens. Each row is an item, repeated rows too. No rows, no containers. The sum of n_tokens in a container is capacity at most.
     """
+    if os.path.exists(path):
+        items.sparkSession.sparkContext.addFile(path)  # workers elsewhere get it from here
     groups = max(1, math.ceil(items.count() / group_items))
     grouped = items.select(F.col(id_column).cast("long").alias("item_id"), F.pmod(F.xxhash64(F.col(id_column), F.monotonically_increasing_id()), F.lit(groups)).cast("int").alias("grp"), F.col(text_column).alias("text"))
     sized = grouped.mapInArrow(lambda batches: _sizes(path, batches), "item_id long, grp int, n_tokens long")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qanat.llm.languages import language_segments, record_languages
 from qanat.llm.leakage import leaks, literal_leaks, measured_recall as leak_recall
-from qanat.llm.lookalikes import consistent_texts, lookalike_pairs
+from qanat.llm.lookalikes import consistent_texts, lookalike_classes, lookalike_pairs
 from qanat.llm.neighbours import measured_recall, nearest
 from qanat.llm.packing import pack
 from qanat.llm.scans import repaired, scan_noise
@@ -39,13 +39,30 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pieces(spark, sf_dir).dropDuplicates(["record_table", "record_id", "piece_index"])
+    """Of rows delivered twice with different texts the first text in order counts, so pieces never mix."""
+    own = F.min(F.struct(F.md5("piece_text").alias("order"), "delivery")).over(Window.partitionBy("record_table", "record_id"))
+    pieces = _pieces(spark, sf_dir).withColumn("own", own.getField("delivery")).where("delivery = own").drop("own", "delivery")
+    return pieces.dropDuplicates(["record_table", "record_id", "piece_index"])
+
+
+def p3_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pieces must be: records cut, pieces over the limit, wrong overlaps, pieces that do not begin or end where they must."""
+    pieces = p3_pieces(spark, sf_dir)
+    at = Window.partitionBy("record_table", "record_id").orderBy("piece_index")
+    before = F.lag(F.col("first_token") + F.col("n_tokens")).over(at)
+    flags = pieces.select("record_table", "record_id", (F.col("n_tokens") > 512).alias("over"), (before - F.col("first_token") != 50).alias("lap"), ((F.col("piece_index") == 1) & (F.col("first_token") != 0)).alias("start"), "piece_index", "pieces")
+    return flags.agg(F.countDistinct("record_table", "record_id").alias("records"), F.count_if("over").alias("over"), F.count_if("lap").alias("wrong_overlaps"), F.count_if("start").alias("wrong_starts"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(table(spark, sf_dir, "articles"))
 
 
+def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The look-alikes by class: a row for each article."""
+    return lookalike_classes(table(spark, sf_dir, "articles"))
+
+
 def p7_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """text_ar and the normalised text of every article in one consistent form."""
     articles = table(spark, sf_dir, "articles")
@@ -57,6 +74,16 @@ def p8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p8_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a packing must be: items, items missing or cut though they fit, containers over the capacity, and the filled share in whole per cent."""
+    packed = p8_packing(spark, sf_dir)
+    bins = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("n"))
+    items = packed.groupBy("item_id").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("parts"))
+    a = items.agg(F.count("*").alias("items"), F.count_if((F.col("n") <= 4096) & (F.col("parts") > 1)).alias("cut"))
+    b = bins.agg(F.count_if(F.col("n") > 4096).alias("over"), (F.sum("n") / F.count("*") / 4096 > 0.95).alias("well_filled"))
+    return a.join(b)
+
+
 def _bench(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     documents, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "bench_items")
     return documents.select(F.col("doc_id").alias("id"), "text"), items.select(F.col("item_id").alias("id"), "text")
@@ -108,7 +135,7 @@ def p10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_units(_documents(spark, sf_dir))
 
 
-QUERIES = {"p5_found": p5_found, "p5_segments": p5_segments, "p4_found": p4_found, "p4_repaired": p4_repaired, "p10_found": p10_found, "p10_sentences": p10_sentences, "p2_found": p2_found, "p2_recall": p2_recall, "p9_found": p9_found, "p9_report": p9_report, "p9_recall": p9_recall, "p3_found": p3_found, "p3_pieces": p3_pieces, "p7_found": p7_found, "p7_forms": p7_forms, "p8_packing": p8_packing}
+QUERIES = {"p5_found": p5_found, "p5_segments": p5_segments, "p4_found": p4_found, "p4_repaired": p4_repaired, "p10_found": p10_found, "p10_sentences": p10_sentences, "p2_found": p2_found, "p2_recall": p2_recall, "p9_found": p9_found, "p9_report": p9_report, "p9_recall": p9_recall, "p3_found": p3_found, "p3_pieces": p3_pieces, "p3_check": p3_check, "p7_found": p7_found, "p7_classes": p7_classes, "p7_forms": p7_forms, "p8_packing": p8_packing, "p8_check": p8_check}
 
 # The characters with the property White_Space, as a class for DuckDB's expressions.
 _BLANK = "\\x{9}-\\x{D}\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
@@ -121,12 +148,16 @@ t AS (SELECT a, b FROM s QUALIFY row_number() OVER (PARTITION BY a ORDER BY near
 SELECT DISTINCT least(a, b) AS chunk_id_a, greatest(a, b) AS chunk_id_b FROM t
 """
 
-ORACLES = {
-    "p2_found": _P2,
-    "p3_found": f"""
-SELECT record_table, record_id FROM (
+_P3 = f"""
+WITH r AS (SELECT record_table, record_id FROM (
   SELECT 'articles' AS record_table, id AS record_id, CASE WHEN text_ar <> '' THEN text_ar ELSE text_en END AS t FROM articles
   UNION ALL SELECT 'article_chunks', id, chunk_text FROM article_chunks)
-WHERE len(regexp_extract_all(t, '[^{_BLANK}]+')) > 512 GROUP BY 1, 2
-""",
+WHERE len(regexp_extract_all(t, '[^{_BLANK}]+')) > 512)
+"""
+
+ORACLES = {
+    "p2_found": _P2,
+    "p3_found": _P3 + "SELECT record_table, record_id FROM r GROUP BY 1, 2",
+    "p3_check": _P3 + "SELECT count(DISTINCT (record_table, record_id)) AS records, 0 AS over, 0 AS wrong_overlaps, 0 AS wrong_starts FROM r",
+    "p8_check": "SELECT count(DISTINCT doc_id) AS items, 0 AS cut, 0 AS over, true AS well_filled FROM documents",
 }

@@ -7,6 +7,7 @@ exactly the given number of tokens between consecutive pieces.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -82,22 +83,22 @@ def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tu
 
 def _split(limit: int, overlap: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(table, id_, i, len(pieces), *piece) for table, id_, text in zip(*(c.to_pylist() for c in batch.columns)) for pieces in [split_text(text, limit, overlap)] for i, piece in enumerate(pieces, 1)]
-        columns = list(zip(*rows)) if rows else [()] * 7
+        rows = [(table, id_, i, len(pieces), *piece, hashlib.md5(text.encode("utf-8", "surrogatepass"), usedforsecurity=False).hexdigest()) for table, id_, text in zip(*(c.to_pylist() for c in batch.columns)) for pieces in [split_text(text, limit, overlap)] for i, piece in enumerate(pieces, 1)]
+        columns = list(zip(*rows)) if rows else [()] * 8
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string()))],
-            ["record_table", "record_id", "piece_index", "pieces", "first_token", "n_tokens", "piece_text"],
+            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string()))],
+            ["record_table", "record_id", "piece_index", "pieces", "first_token", "n_tokens", "piece_text", "delivery"],
         )
 
 
 def oversized_pieces(records: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """The pieces of every record over the limit; records within it give no rows.
 
-    records: record_table, record_id, text. Null and blank texts have no tokens. Repeated rows give repeated pieces; a single token is never cut,
+    records: record_table, record_id, text; delivery names the text a piece is of. Null and blank texts have no tokens. Repeated rows give repeated pieces; a single token is never cut,
     whatever its length. Texts too short to hold limit + 1 tokens never leave the JVM.
     """
     longer = records.where(F.length("text") > 2 * limit).select("record_table", "record_id", "text")
-    schema = "record_table string, record_id string, piece_index int, pieces int, first_token int, n_tokens int, piece_text string"
+    schema = "record_table string, record_id string, piece_index int, pieces int, first_token int, n_tokens int, piece_text string, delivery string"
     return longer.mapInArrow(lambda batches: _split(limit, overlap, batches), schema).where("pieces > 1")
 
 

@@ -1,7 +1,7 @@
 import pytest
 
 from qanat.functions.visual import visual_key
-from qanat.llm.lookalikes import consistent_form, consistent_texts, lookalike_pairs, resolved
+from qanat.llm.lookalikes import consistent_form, consistent_texts, lookalike_classes, lookalike_pairs, resolved
 
 SAME = [
     ("على", "علی"),
@@ -16,6 +16,9 @@ SAME = [
     ("a b", "a\u3000b"),
     ("كلمة", "كل\u200bمة"),
     ("المادة (5)", "المادة （５）"),
+    ("IV A", "Ⅳ 𝐀"),
+    ("o A", "օ Ꭺ"),
+    ("TAX", "ꓔꓮꓫ"),
     ("صا\u200cحب", "صاحب"),
 ]
 OTHER = [("امر", "أمر"), ("نص", "نصّ"), ("5", "٥"), ("٥", "۵"), ("على", "علي"), ("a\nb", "a b"), ("a  b", "a b"), ("می\u200cکند", "میکند")]
@@ -34,8 +37,8 @@ def test_other_looks(a, b):
 
 
 def test_scripts_of_tokens():
-    assert resolved("VАТ") == {"LATIN"}  # two letters are Cyrillic, V has no Cyrillic double
-    assert resolved("ΙΒΑΝ") == {"LATIN", "GREEK"}
+    assert resolved("VАТ") == {"LATIN", "CHEROKEE", "LISU"}  # two letters are Cyrillic, V has no Cyrillic double
+    assert resolved("ΙΒΑΝ") >= {"LATIN", "GREEK"} and "CYRILLIC" not in resolved("ΙΒΑΝ")
     assert consistent_form("слово АТ слово") == "слово АТ слово"  # all neighbours are Cyrillic
     assert consistent_form("word АТ word") == "word AT word"
     assert consistent_form("") == ""
@@ -53,6 +56,8 @@ def test_pairs(spark):
     frame = spark.createDataFrame([(*r, "x") for r in rows], "id string, document_id string, text_ar string, form string")
     assert {tuple(r) for r in lookalike_pairs(frame).collect()} == {("1", "2"), ("2", "3")}
     assert lookalike_pairs(frame.limit(0)).count() == 0
+    classes = lookalike_classes(frame).collect()
+    assert sorted(r["article_id"] for r in classes) == ["1", "2", "3"] and len({r["class_id"] for r in classes}) == 1 and len({r["spelling_id"] for r in classes}) == 2
 
 
 def test_every_row_comes_out(spark):
