@@ -3,7 +3,8 @@
 Rows of all snapshots are range-partitioned and sorted by (group, pair of snapshots, key). Within a range two streams, the rows of the older
 and those of the newer snapshot of each pair, advance side by side: equal keys are compared, a key in one stream only was added or removed.
 A row is used at most twice (once as older, once as newer), only keys and digests travel, and a group that holds most of the rows is cut into
-as many ranges as its size asks for, so no task ever holds a snapshot.
+as many ranges as its size asks for, so no task ever holds a snapshot. Snapshots can be kept in ranges, sorted by key; a new delivery is then merged
+with its neighbours in the order alone, and nothing older is read.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qanat.functions.columns import number_key, version_number, visual_digest
-from qanat.session import partitions
+from qanat.session import cut_lineage, partitions
 
 OLDER, NEWER = 0, 1
 
@@ -79,6 +80,32 @@ def snapshot_changes(rows: DataFrame, snapshots: DataFrame) -> DataFrame:
     return ranged.mapInArrow(_merge, "snapshot_id string, key string, change_kind string")
 
 
+_KEPT = ("snapshot_id", "key", "digest")
+
+
+def keep_snapshots(rows: DataFrame, path: str) -> None:
+    """Appends the rows (snapshot_id, key, digest) of delivered snapshots to the kept ones below path: in ranges of snapshot and key, sorted."""
+    own = rows.select(*_KEPT).where(F.col("snapshot_id").isNotNull() & F.col("key").isNotNull())
+    own.repartitionByRange(partitions(rows.sparkSession), "snapshot_id", "key").sortWithinPartitions("snapshot_id", "key").write.mode("append").parquet(path)
+
+
+def delivered_changes(rows: DataFrame, snapshots: DataFrame, path: str) -> DataFrame:
+    """The changes that newly delivered snapshots bring: of each against the one before it, and of the one behind it against it.
+
+    rows: snapshot_id, key, digest of the new snapshots; snapshots: the result of consecutive() over old and new ones; path: where the old ones are
+    kept. Of these only the neighbours of the new ones are read. New snapshots that were kept already must not be among the rows.
+    """
+    new = rows.select(F.col("snapshot_id").alias("new_id")).distinct()
+    order = snapshots.join(new, F.col("snapshot_id") == F.col("new_id"), "left").withColumn("is_new", F.col("new_id").isNotNull()).drop("new_id")
+    of = order.select(F.col("snapshot_id").alias("next_id"), F.col("is_new").alias("next_is_new"))
+    pairs = order.join(of, "next_id", "left").where("is_new OR coalesce(next_is_new, false)")
+    asked = cut_lineage(pairs.where("next_id IS NOT NULL").select("snapshot_id", "next_id").distinct())
+    needed = asked.select("snapshot_id").unionByName(asked.select(F.col("next_id").alias("snapshot_id"))).distinct().join(new, F.col("snapshot_id") == F.col("new_id"), "left_anti")
+    kept = rows.sparkSession.read.parquet(path).select(*_KEPT).join(needed, "snapshot_id", "left_semi")
+    both = asked.select("snapshot_id", "next_id").join(asked.select(F.col("next_id").alias("snapshot_id"), F.lit(True).alias("has_previous")), "snapshot_id", "full_outer")
+    return snapshot_changes(kept.unionByName(rows.select(*_KEPT)), both.withColumn("has_previous", F.coalesce("has_previous", F.lit(False))))
+
+
 def version_changes(articles: DataFrame, documents: DataFrame) -> DataFrame:
     """Articles added, removed and changed in each delivered version of a source: document_id, article_number, change_kind.
 

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from qanat.operators.snapshots import consecutive, snapshot_changes, version_changes
+from qanat.operators.snapshots import consecutive, delivered_changes, keep_snapshots, snapshot_changes, version_changes
 
 DOCS = "id string, source_id string, version string, metadata struct<status: string>, key string"
 ARTICLES = "id string, document_id string, article_number string, text_ar string, text_en string, digest string"
@@ -43,3 +43,17 @@ def test_against_brute_force(spark):
     order = consecutive(spark.createDataFrame(snaps, "id string, source string, n int"), "source", F.col("n"), "id")
     got = snapshot_changes(spark.createDataFrame(rows, "snapshot_id string, key string, digest string"), order)
     assert {tuple(r) for r in got.collect()} == wanted
+
+
+def test_kept_ranges_give_what_all_history_gives(spark, tmp_path):
+    rng = random.Random(5)
+    snaps = [(f"s{n}", g, n) for g in ("a", "b") for n in range(1 if g == "a" else 11, 6 if g == "a" else 14)]
+    rows = [(s, str(k), rng.choice("xy")) for s, _, _ in snaps for k in range(40) if rng.random() < 0.7]
+    frame = lambda some: spark.createDataFrame(some, "snapshot_id string, key string, digest string")
+    order = consecutive(spark.createDataFrame(snaps, "id string, source string, n int"), "source", F.col("n"), "id")
+    late = {"s3", "s13"}  # one between two kept ones, one behind the last
+    keep_snapshots(frame([r for r in rows if r[0] not in late]), str(tmp_path / "kept"))
+    wanted = {tuple(r) for r in snapshot_changes(frame(rows), order).collect() if r["snapshot_id"] in {"s3", "s4", "s13"}}
+    got = delivered_changes(frame([r for r in rows if r[0] in late]), order, str(tmp_path / "kept"))
+    assert {tuple(r) for r in got.collect()} == wanted and len({s for s, _, _ in wanted}) == 3
+    assert delivered_changes(frame([]), order, str(tmp_path / "kept")).count() == 0
