@@ -3,9 +3,9 @@
 Passages (windows of 2 * RUN words, RUN apart, so every run of RUN words lies whole in one) of corpus and evaluation items are weighted by TF-IDF.
 A distributed randomised SVD of the corpus' and items' passages over the items' vocabulary gives a latent space; the vocabulary is bounded by the
 items, while document frequencies come from all passages of the corpus and words outside the vocabulary count in a passage's length. Corpus
-passages are searched against the items' passages by cosine. The threshold is the cosine that REACHED of PLANTED item runs, planted into corpus
-words, have. As it comes from a sample, it does not decide on literal leaks: every run of every text is looked up among the items' runs too, and a
-pair that has one is a candidate whatever its cosine. Each candidate is then checked: longest common run of words with the item, and, for
+passages are searched against the items' passages by cosine. The threshold is the cosine that REACHED of all item runs beside all windows of RUN
+corpus words have at least. As some have less, it does not decide on literal leaks: every run of every text is looked up among the items' runs too,
+and a pair that has one is a candidate whatever its cosine. Each candidate is then checked: longest common run of words with the item, and, for
 paraphrases, the longest common subsequence and the answer: the heaviest words of the item's passage (names, numbers) must occur in the text's.
 """
 
@@ -26,7 +26,8 @@ from qanat.functions.visual import visual_key
 from qanat.session import cut_lineage
 
 RUN, RANK, OVERSAMPLE, BUCKETS, CORPUS_WEIGHT = 13, 128, 16, 1 << 20, 0.1
-PLANTED, FILLERS, REACHED = 2000, 400, 0.99  # planted runs and texts around them, and the share of them that the threshold lets through
+REACHED, LENGTHS, LOWS = 0.99, 4096, 128  # share of item runs beside corpus words that the threshold lets through, steps in which the words are counted
+FILLERS = 400  # texts whose words stand around the planted texts of measured_recall
 PARAPHRASE, HEAVY, ANSWERED = 0.33, 0.7, 0.7
 TOGETHER, CHUNK = 100_000, 1 << 16  # words of texts worked on together, word vectors added up together
 _MARKS = dict.fromkeys([*range(0x610, 0x61B), *range(0x64B, 0x660), 0x670, *range(0x6D6, 0x6DD), *range(0x6DF, 0x6E5), 0x6E7, 0x6E8, *range(0x6EA, 0x6EE), *range(0x5B0, 0x5BE), 0x5BF, 0x5C1, 0x5C2, 0x640])
@@ -272,28 +273,85 @@ def fit_space(coded: DataFrame, items: list[np.ndarray], rank: int = RANK, seed:
     return space
 
 
-def calibrated_threshold(space: Space, items: list[np.ndarray], fillers: list[np.ndarray], seed: int = 3) -> float:
-    """The cosine that REACHED of PLANTED runs of RUN item words, put among corpus words, have with a passage of their item."""
-    rng, around = np.random.default_rng(seed), np.concatenate([np.zeros(0, np.int64), *fillers])
-    usable = [i for i, t in enumerate(items) if len(t) >= RUN]
-    if not usable:
+def lowest(space: Space, targets: np.ndarray) -> np.ndarray:
+    """The least that each word of the vocabulary adds to the product of a passage's latent vector with any target, 0 at most."""
+    parts = [(space.basis[at : at + 256] * space.weights[at : at + 256, None]) @ targets.T for at in range(0, len(space.vocabulary), 256)]
+    return np.concatenate([np.zeros(0), *(p.min(axis=1, initial=0) for p in parts)])
+
+
+def windows(texts: list[np.ndarray], space: Space, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """TF-IDF length and sum of `low` of all windows of RUN words of some texts; a shorter text is one window."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    codes = np.concatenate([np.zeros(0, np.int64), *texts])
+    row, weight, least = space.rows(codes), space.others[_bucket(codes)].astype(np.float64), np.zeros(len(codes))
+    known = np.flatnonzero(row < len(space.vocabulary))
+    weight[known], least[known] = space.weights[row[known]], low[row[known]]
+    end, start = np.repeat(np.cumsum(sizes), sizes), np.arange(len(codes))
+    start = np.flatnonzero((start + RUN <= end) | (start == end - np.repeat(sizes, sizes)))
+    end = np.minimum(start + RUN, end[start])
+    squares, sums = (np.concatenate([np.zeros(1), np.cumsum(x)]) for x in (weight**2, least))
+    return np.sqrt(np.maximum(squares[end] - squares[start], 0)), np.minimum(sums[end] - sums[start], 0)
+
+
+@dataclass
+class Beside:
+    """How many windows of the whole corpus have which TF-IDF length and sum of `lowest`, in steps: lengths counted up and sums down."""
+
+    longest: float
+    least: float
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, coded: DataFrame, space: Space, targets: np.ndarray) -> Beside:
+        low = lowest(space, targets)
+        longest, least = RUN**0.5 * float(max(space.others.max(), space.weights.max(initial=0))), min(RUN * float(low.min(initial=0)), -1e-9)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen = np.zeros((LENGTHS + 1) * (LOWS + 1), np.int64)
+            for batch in batches:
+                for _, texts in together(batch):
+                    length, own = windows(texts, space, low)
+                    steps = np.minimum(np.ceil(length / longest * LENGTHS), LENGTHS), np.minimum(np.ceil(np.sqrt(own / least) * LOWS), LOWS)
+                    seen += np.bincount((steps[1] * (LENGTHS + 1) + steps[0]).astype(np.int64), minlength=len(seen))
+            at = np.flatnonzero(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["at", "windows"])
+
+        found = coded.select("codes").mapInArrow(count, "at long, windows long").groupBy("at").agg(F.sum("windows").alias("windows")).toPandas()
+        counts = np.zeros((LOWS + 1) * (LENGTHS + 1), np.int64)
+        counts[found["at"].to_numpy(np.int64)] = found["windows"].to_numpy(np.int64)
+        return cls(longest, least, counts.reshape(LOWS + 1, LENGTHS + 1))
+
+    def share(self, near: np.ndarray, square: np.ndarray, cosine: float) -> float:
+        """The share of all pairs of a run (product with its target, square of its length) and a window that have at least this cosine for certain."""
+        total = 0
+        for step in np.flatnonzero(self.counts.any(axis=1)):
+            room = (np.maximum(near + (step / LOWS) ** 2 * self.least, 0) / cosine) ** 2 - square
+            length = np.minimum(np.sqrt(room[room >= 0]) / self.longest * LENGTHS, LENGTHS).astype(np.int64)
+            total += int(np.cumsum(self.counts[step])[length].sum())
+        return total / (len(near) * int(self.counts.sum()))
+
+
+def calibrated_threshold(space: Space, items: list[np.ndarray], beside: Beside) -> float:
+    """The cosine with a passage of their item that REACHED of all runs of RUN item words, each put beside every window of RUN corpus words, have at
+    least. The square of a passage's length and its product with a target are sums over run and window, so the pairs need not be formed: a window
+    counts with its length and with the least that it can add to the product with any target, a run with the target nearest to it."""
+    item_of, _, latent, _ = passages(items, space)
+    targets = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+    near, square = [], []
+    for i, item in enumerate(items):
+        if len(item) >= RUN:
+            _, _, vectors, length = passages(list(np.lib.stride_tricks.sliding_window_view(item, RUN)), space)
+            near.append((vectors @ targets[item_of == i].T).max(axis=1).astype(np.float64))
+            square.append(length.astype(np.float64) ** 2)
+    if not near:
         return 1.0
-    planted, of = [], []
-    for n in range(PLANTED):
-        item = items[usable[n % len(usable)]]
-        at = int(rng.integers(len(item) - RUN + 1))
-        begin, cut = int(rng.integers(max(1, len(around) - RUN))), int(rng.integers(0, RUN + 1))
-        own = around[begin : begin + RUN]
-        planted.append(np.concatenate([own[:cut], item[at : at + RUN], own[cut:]]))
-        of.append(usable[n % len(usable)])
-    item_of, _, latent, length = passages(items, space)
-    latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    owner, _, vectors, lengths = passages(planted, space)
-    near = (vectors / np.maximum(lengths[:, None], 1e-9).astype(np.float32)) @ latent.T
-    near[item_of[None, :] != np.array(of)[owner][:, None]] = 0
-    best = np.zeros(len(planted))
-    np.maximum.at(best, owner, near.max(axis=1, initial=0))
-    return float(np.quantile(best, 1 - REACHED))
+    if not beside.counts.any():  # no corpus: the runs alone
+        beside.counts[0, 0] = 1
+    near, square, reached, beyond = np.concatenate(near), np.concatenate(square), 0.0, 1.0
+    for _ in range(16):
+        middle = (reached + beyond) / 2
+        reached, beyond = (middle, beyond) if beside.share(near, square, middle) >= REACHED else (reached, middle)
+    return reached
 
 
 def run_keys(codes: np.ndarray, run: int = RUN) -> np.ndarray:
@@ -384,10 +442,9 @@ def leaks(documents: DataFrame, items: DataFrame, paraphrases: bool = True) -> D
     ids, own = held["id"].to_numpy(np.int64), [np.frombuffer(x, np.int64) for x in held["codes"]]
     coded = cut_lineage(coded_texts(documents.where("id IS NOT NULL AND text IS NOT NULL")))
     space = fit_space(coded, own)
-    filler = [np.frombuffer(r["codes"], np.int64) for r in coded.orderBy(F.xxhash64("id"), "id").limit(FILLERS).collect()]
-    threshold = min(PARAPHRASE, calibrated_threshold(space, own, filler))
     item_of, item_first, latent, _ = passages(own, space)
     targets = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    threshold = min(PARAPHRASE, calibrated_threshold(space, own, Beside.of(coded, space, targets)))
     shared = spark.sparkContext.broadcast((space, ids, own, item_of, item_first, targets, Runs(own)))
 
     def nearest(text: np.ndarray, item: int) -> tuple[float, int, int]:
@@ -485,7 +542,7 @@ def planted_texts(items: list[tuple[int, str]], fillers: list[str], seed: int =
 
 def measured_recall(documents: DataFrame, items: DataFrame) -> DataFrame:
     """kind, planted, retrieved, found: of the texts planted for every item (see planted_texts) among all documents, how many the cosine search
-    brings to the check and how many come out. Planted literal runs are drawn by another seed than those of the calibration."""
+    brings to the check and how many come out."""
     spark = documents.sparkSession
     held = [(r["id"], r["text"]) for r in items.where("id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["id"]).orderBy("id").collect()]
     fillers = [r["text"] for r in documents.where("text IS NOT NULL").orderBy(F.xxhash64(F.col("id"), F.lit(1)), "id").limit(FILLERS).select("text").collect()]

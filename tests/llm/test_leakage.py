@@ -2,7 +2,9 @@ import random
 
 import numpy as np
 
-from qanat.llm.leakage import BUCKETS, Space, document_frequencies, leaks, literal_leaks, longest_run, longest_subsequence, measured_recall, passages, run_keys, word_codes, words
+from pyspark.sql import functions as F
+
+from qanat.llm.leakage import BUCKETS, REACHED, RUN, Beside, Space, calibrated_threshold, coded_texts, document_frequencies, fit_space, leaks, literal_leaks, longest_run, longest_subsequence, measured_recall, passages, run_keys, word_codes, words
 
 
 def test_words_are_compared_without_dress():
@@ -123,3 +125,47 @@ def test_measured_recall(spark):
     rows = {r["kind"]: r for r in measured_recall(frame, held).collect()}
     assert rows["literal"]["found"] == rows["literal"]["planted"] == 30 and rows["literal"]["retrieved"] >= 28
     assert rows["reworded"]["found"] <= rows["reworded"]["retrieved"] <= rows["reworded"]["planted"] == 30
+
+
+def test_threshold_counts_every_run_beside_every_window(spark):
+    rng = random.Random(11)
+    common = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(common) if rng.random() < 0.8 else f"rare{d}x{k}" for k in range(rng.choice([0, 5, 13, 40]))) for d in range(60)]
+    items = [word_codes(" ".join(rng.choice(common) if rng.random() < 0.5 else f"name{rng.randint(0, 40)}" for _ in range(n))) for n in (12, 13, 26, 27, 40)]
+    codes = [word_codes(t) for t in texts]
+    coded = coded_texts(spark.createDataFrame(list(enumerate(texts)), "id long, text string")).repartition(3)
+    space = fit_space(coded, items, rank=8)
+    item_of, _, latent, _ = passages(items, space)
+    targets = latent / np.linalg.norm(latent, axis=1, keepdims=True)
+    beside = Beside.of(coded, space, targets)
+    around = [t[at : at + RUN] for t in codes if len(t) for at in range(max(1, len(t) - RUN + 1))]
+    assert int(beside.counts.sum()) == len(around)
+    cosines = []
+    for i, item in enumerate(items):
+        for at in range(len(item) - RUN + 1):
+            _, _, vectors, length = passages([np.concatenate([item[at : at + RUN], w]) for w in around], space)
+            cosines.append((vectors / length[:, None] @ targets[item_of == i].T).max(axis=1))
+    threshold, exact = calibrated_threshold(space, items, beside), float(np.quantile(np.concatenate(cosines), 1 - REACHED))
+    assert 0.7 * exact < threshold <= exact
+    assert calibrated_threshold(space, items[:1], beside) == 1.0
+    alone = calibrated_threshold(space, items, Beside.of(coded.limit(0), space, targets))
+    assert threshold < alone < 1
+
+
+def test_threshold_does_not_hang_on_a_part_of_the_texts(spark):
+    rng = random.Random(12)
+    common, names = [f"w{i}" for i in range(150)], [f"name{i}" for i in range(200)]
+    items = [(i, " ".join(rng.choice(names) for _ in range(40))) for i in range(30)]
+    order = [r["id"] for r in spark.range(2400).orderBy(F.xxhash64("id"), "id").collect()]  # the first 400 are of common words, all others of words that stand nowhere else
+    docs = []
+    for n, d in enumerate(order):
+        text = [rng.choice(common) if n < 400 else f"rare{d}x{k}" for k in range(39)]
+        if n < 400:
+            text += [rng.choice(names) for _ in range(13)]
+        if n >= 2340:
+            text[13:13] = items[n % 30][1].split()[n % 27 :][:13]
+        docs.append((d, " ".join(text)))
+    frame, held = (spark.createDataFrame(x, "id long, text string") for x in (docs, items))
+    rows = [r for r in leaks(frame, held).collect() if r["run"] >= 13]
+    assert len({(r["doc_id"], r["item_id"]) for r in rows}) == len(rows) == 60
+    assert sum(r["retrieved"] for r in rows) >= 58
